@@ -371,7 +371,8 @@ def examples_causal(spark, sf):
 @query
 def csv_union(spark, sf):
     """Pairs of two sources stacked by column name."""
-    return pair_csv.union_all([fixture(spark, sf, "pair_rows"), _pairs(spark, sf)])
+    both = pair_csv.union_all([fixture(spark, sf, "pair_rows"), _pairs(spark, sf)])
+    return both.fillna(-1, ["pair_id", "pos"])
 
 
 @query
