@@ -74,6 +74,15 @@ def drop_brackets(text: Column) -> Column:
     return F.regexp_replace(text, r"\([^)]*\)", "")
 
 
+def has_stray_digit(text: Column) -> Column:
+    """``has_digit(drop_brackets(text))`` as one search, without the copy.
+
+    Text lies outside brackets from the start or a closing bracket up to the
+    next opening one, and after an opening bracket that is never closed.
+    """
+    return text.rlike(rf"(?:\A|\))[^()]*{DIGIT}|\([^)]*{DIGIT}[^)]*\z")
+
+
 def bracket_list(text: Column) -> Column:
     """All bracketed spans in order, brackets included."""
     return F.regexp_extract_all(text, F.lit(BRACKET), F.lit(0))
@@ -100,31 +109,37 @@ def fold_readings(text: Column, brackets: Column) -> Column:
     For each bracket pair, in order, whose first member has no digit, every
     occurrence of the second member in the running text becomes the first.
     """
+
+    def state(running: Column, first: Column) -> Column:
+        return F.struct(running.alias("running"), first.alias("first"))
+
+    none = F.lit("")  # no first member is waiting
     return F.aggregate(
-        stride_pairs(brackets),
-        text,
-        lambda acc, p: F.when(has_digit(p["first"]), acc).otherwise(
-            F.replace(acc, p["second"], p["first"])
+        brackets,
+        state(text, none),
+        lambda acc, b: F.when(acc["first"] == "", state(acc["running"], b)).otherwise(
+            state(
+                F.when(has_digit(acc["first"]), acc["running"]).otherwise(
+                    F.replace(acc["running"], b, acc["first"])
+                ),
+                none,
+            )
         ),
+        lambda acc: acc["running"],
     )
 
 
-def skip_spans(text: Column, mode: str) -> Column:
-    """Cut the bracket members that ``mode`` does not read.
+def cut_brackets(text: Column, mode: str) -> Column:
+    """Cut the bracket members that ``mode`` does not read, and the marks.
 
-    *phonetic*: an opening bracket starts or ends a cut, so one that is left
-    over has no partner.  *spelling*: a closing bracket starts or ends a cut,
+    *phonetic*: an opening bracket starts or ends a cut; one without partner
+    stays in the result.  *spelling*: a closing bracket starts or ends a cut,
     which runs to the end of the text if unpaired.
     """
     _check_mode(mode)
     if mode == "phonetic":
-        return F.regexp_replace(text, r"\([^(]*\(", "")
-    return F.regexp_replace(text, r"\)[^)]*(?:\)|\z)", "")
-
-
-def drop_marks(cut: Column, mode: str) -> Column:
-    """Remove the bracket characters that ``skip_spans`` leaves."""
-    return F.replace(cut, F.lit(")" if mode == "phonetic" else "("), F.lit(""))
+        return F.regexp_replace(text, r"\([^(]*\(|\)", "")
+    return F.regexp_replace(text, r"\)[^)]*(?:\)|\z)|\(", "")
 
 
 def bracket_text(text: Column, mode: str) -> Column:
@@ -132,9 +147,8 @@ def bracket_text(text: Column, mode: str) -> Column:
 
     NULL in *phonetic* mode when the opening brackets do not pair up.
     """
-    cut = skip_spans(text, mode)
-    kept = drop_marks(cut, mode)
-    return F.when(~F.contains(cut, F.lit("(")), kept) if mode == "phonetic" else kept
+    cut = cut_brackets(text, mode)
+    return F.when(~F.contains(cut, F.lit("(")), cut) if mode == "phonetic" else cut
 
 
 def drop_symbols(text: Column) -> Column:

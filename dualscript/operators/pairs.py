@@ -24,10 +24,6 @@ def sentences(lines: DataFrame, delimiter: str | None = "::") -> DataFrame:
     )
 
 
-def _stray_digit(sentence: Column) -> Column:
-    return T.has_digit(T.drop_brackets(sentence))
-
-
 def _once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that later filters read without computing them again.
 
@@ -48,13 +44,14 @@ def valid_pairs(lines: DataFrame, delimiter: str | None = "::") -> DataFrame:
     s = F.col("sentence")
     rest = [c for c in lines.columns if c != "raw"]
     marked = sentences(lines.where(F.contains(F.col("raw"), F.lit("("))), delimiter)
-    listed = _once(_once(marked, sentence=s), brackets=T.bracket_list(s))
-    plausible = listed.where(T.is_paired(F.col("brackets")) & ~_stray_digit(s))
+    # No step adds a digit, so a sentence without one cannot end with one.
+    worth = _once(marked, sentence=s).where(T.has_digit(s) & ~T.has_stray_digit(s))
+    plausible = _once(worth, brackets=T.bracket_list(s)).where(T.is_paired(F.col("brackets")))
     folded = plausible.withColumn("folded", T.fold_readings(s, F.col("brackets")))
     cut = _once(
         folded.select(*rest, "folded"),
-        num=T.skip_spans(F.col("folded"), "spelling"),
-        sen=T.skip_spans(F.col("folded"), "phonetic"),
+        num=T.cut_brackets(F.col("folded"), "spelling"),
+        sen=T.cut_brackets(F.col("folded"), "phonetic"),
     )
     # An opening bracket without partner, or a '%' that has no reading, fails.
     sound = (
@@ -64,8 +61,8 @@ def valid_pairs(lines: DataFrame, delimiter: str | None = "::") -> DataFrame:
     )
     return cut.where(sound).select(
         *rest,
-        T.drop_symbols(T.drop_marks(F.col("num"), "spelling")).alias("num_col"),
-        T.drop_symbols(T.drop_marks(F.col("sen"), "phonetic")).alias("sen_col"),
+        T.drop_symbols(F.col("num")).alias("num_col"),
+        T.drop_symbols(F.col("sen")).alias("sen_col"),
     )
 
 
@@ -80,7 +77,7 @@ def line_outcomes(lines: DataFrame, delimiter: str = "::") -> DataFrame:
     )
     reason = (
         F.when(s.isNull(), "no_delimiter")
-        .when(_stray_digit(s), "stray_digit")
+        .when(T.has_stray_digit(s), "stray_digit")
         .when(F.size("_brackets") == 0, "no_bracket")
         .when(F.size("_brackets") % 2 == 1, "odd_brackets")
         .when(~T.has_digit(T.transcript_text(running, "spelling")), "no_numeral")

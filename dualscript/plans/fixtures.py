@@ -9,6 +9,8 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dualscript.sources.storage import materialise, spread
+
 QUOTA = {"src1.d": 1, "src2.d": 2, "src3.d": 1, "src4.d": 3, "src99.d": 1}
 
 _READ = "translate(CAST({} AS STRING), '0123456789', '영일이삼사오육칠팔구')"
@@ -68,9 +70,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    frames = {s: table(spark, sf_dir, s) for s in sources(name)}
-    return spark.sql(FIXTURES[name], **frames)
+    """A derived table, stored once per session like any other input table."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        frames = {s: table(spark, sf_dir, s) for s in sources(name)}
+        _STORED[key] = materialise(spread(spark.sql(FIXTURES[name], **frames)), name)
+    return _STORED[key]
 
 
 def fixture_sql(name: str) -> str:

@@ -19,6 +19,10 @@ from dualscript.plans.fixtures import QUOTA, fixture, table
 from dualscript.sources import pair_csv, storage, tree, trn
 from dualscript.streaming import ingest
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return storage.spread(table(spark, sf, "documents"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -93,7 +97,7 @@ def special_filter_phonetic(spark, sf):
 
 @query
 def special_filter_docs(spark, sf):
-    d = table(spark, sf, "documents")
+    d = _documents(spark, sf)
     return d.select("doc_id", T.clean_symbols(F.col("text"), "spelling").alias("cleaned"))
 
 
@@ -120,7 +124,7 @@ def reading_fold(spark, sf):
 
 @query
 def whitespace_tokens(spark, sf):
-    d = table(spark, sf, "documents")
+    d = _documents(spark, sf)
     words = T.tokens(F.col("text"))
     return d.select(
         "doc_id", F.size(words).cast("bigint").alias("n_tokens"),
@@ -342,7 +346,7 @@ def length_eda_after(spark, sf):
 
 @query
 def doc_length_eda(spark, sf):
-    return _rounded(curate.length_profile(table(spark, sf, "documents"), {"text": "text"}, "lang"), 3)
+    return _rounded(curate.length_profile(_documents(spark, sf), {"text": "text"}, "lang"), 3)
 
 
 # --- stage 4: examples ---
@@ -382,7 +386,7 @@ def vocabulary_ids(spark, sf):
 
 @query
 def vocabulary_docs(spark, sf):
-    return vocabulary.build_vocab(table(spark, sf, "documents"), "text")
+    return vocabulary.build_vocab(_documents(spark, sf), "text")
 
 
 @query
@@ -415,7 +419,7 @@ def decode_ids(spark, sf):
 
 @query
 def encode_docs(spark, sf):
-    d = table(spark, sf, "documents")
+    d = _documents(spark, sf)
     v = vocabulary.build_vocab(d, "text")
     e = vocabulary.encode(d, "doc_id", "text", v)
     return e.select("doc_id", F.md5(_ids("ids")).alias("digest"), F.size("ids").cast("bigint").alias("n_ids"))
@@ -423,7 +427,7 @@ def encode_docs(spark, sf):
 
 @query
 def length_buckets(spark, sf):
-    b = examples.length_buckets(table(spark, sf, "documents"), "text", 10)
+    b = examples.length_buckets(_documents(spark, sf), "text", 10)
     return b.select("doc_id", F.col("length").cast("bigint").alias("length"), F.col("bucket").cast("bigint").alias("bucket"))
 
 
