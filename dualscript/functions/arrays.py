@@ -33,12 +33,11 @@ def truncate(ids: Column, max_length: int) -> Column:
     return F.slice(ids, 1, max_length)
 
 
-def ngrams(items: Column, n: int) -> Column:
-    """Space-joined n-grams; empty array when there are fewer than n items."""
-    count = F.size(items) - (n - 1)
-    starts = F.when(count >= 1, F.sequence(F.lit(1), count)).otherwise(
-        F.array().cast("array<int>")
+def longer_grams(grams: Column, items: Column, n: int) -> Column:
+    """Space-joined n-grams from the (n-1)-grams; empty when there are too few items."""
+    count = F.greatest(F.size(items) - (n - 1), F.lit(0))
+    return F.zip_with(
+        F.slice(grams, F.lit(1), count),
+        F.slice(items, F.lit(n), count),
+        lambda head, last: F.concat_ws(" ", head, last),
     )
-    if n == 1:
-        return items
-    return F.transform(starts, lambda i: F.array_join(F.slice(items, i, F.lit(n)), " "))

@@ -59,8 +59,7 @@ def squeeze(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Whitespace tokens, no empty strings."""
-    body = strip(text)
-    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, WS + "+"))
+    return F.array_remove(F.split(strip(text), WS + "+"), "")
 
 
 def field_after(raw: Column, delimiter: str) -> Column:

@@ -9,6 +9,7 @@ from dualscript.functions import text as T
 from dualscript.operators.examples import NUM_TO_TEXT
 from dualscript.operators.lookup import balanced_lookup
 from dualscript.operators.pairs import sentences
+from dualscript.operators.staging import compute_once
 from dualscript.sources.storage import materialise
 
 # A dual transcription: the spelling, then the reading.
@@ -23,27 +24,36 @@ def readings(lines: DataFrame, delimiter: str | None = "::") -> DataFrame:
     ``next_token`` is the token that follows, empty at the end.
     """
     s = F.col("sentence")
-    parts = sentences(lines, delimiter).select(
-        F.split(s, DUAL).alias("around"),
-        F.arrays_zip(
-            F.regexp_extract_all(s, F.lit(DUAL), F.lit(1)).alias("num"),
-            F.regexp_extract_all(s, F.lit(DUAL), F.lit(2)).alias("reading"),
-        ).alias("duals"),
+    marked = sentences(lines.where(F.contains(F.col("raw"), F.lit(")/("))), delimiter)
+    parts = compute_once(
+        marked.select("sentence"),
+        around=F.split(s, DUAL),
+        duals=F.regexp_extract_all(s, F.lit(DUAL), F.lit(0)),
     )
     each = parts.select("around", F.posexplode("duals").alias("i", "dual")).select(
         F.get("around", F.col("i")).alias("before"),
         F.get("around", F.col("i") + 1).alias("after"),
-        "dual.num", "dual.reading",
+        "dual",
     )
-    prefix = F.regexp_extract("before", rf"({T.NOT_WS}*)\z", 1)
-    suffix = F.regexp_extract("after", rf"^({T.NOT_WS}*)", 1)
-    following = F.regexp_extract("after", rf"^{T.NOT_WS}*{T.WS}+({T.NOT_WS}+)", 1)
-    num = T.clean_symbols(F.concat(prefix, "num", suffix), "spelling")
-    reading = T.clean_symbols(F.concat(prefix, "reading", suffix), "phonetic")
-    return each.select(
-        num.alias("num"), reading.alias("reading"),
-        T.clean_symbols(following, "spelling").alias("next_token"),
-    ).where(T.has_digit(F.col("num")) & (F.length("reading") > 0))
+    words = compute_once(
+        each,
+        prefix=F.regexp_extract("before", rf"({T.NOT_WS}*)\z", 1),
+        suffix=F.regexp_extract("after", rf"^({T.NOT_WS}*)", 1),
+        following=F.regexp_extract("after", rf"^{T.NOT_WS}*{T.WS}+({T.NOT_WS}+)", 1),
+        num=F.regexp_extract("dual", DUAL, 1),
+        reading=F.regexp_extract("dual", DUAL, 2),
+    )
+    whole = compute_once(
+        words,
+        num=F.concat("prefix", "num", "suffix"),
+        reading=F.concat("prefix", "reading", "suffix"),
+    ).where(T.has_digit(F.col("num")) & ~F.contains(F.col("reading"), F.lit("%")))
+    return compute_once(
+        whole.select("num", "reading", "following"),
+        num=T.drop_symbols(F.col("num")),
+        reading=T.drop_symbols(F.col("reading")),
+        next_token=T.drop_symbols(F.col("following")),
+    ).where(F.length("reading") > 0).select("num", "reading", "next_token")
 
 
 def reading_lexicon(
@@ -55,22 +65,20 @@ def reading_lexicon(
     the back-off.  Ties go to the smaller rendering.
     """
     src, dst = ("num", "reading") if direction == NUM_TO_TEXT else ("reading", "num")
+    nowhere = F.lit(None).cast("string")
+    # Every reading counts for the back-off and, if it has one, for its context.
+    contexts = F.when(F.col("next_token") == "", F.array(nowhere)).otherwise(
+        F.array(nowhere, F.col("next_token"))
+    )
     counted = (
         readings(lines, delimiter)
-        .groupBy(F.col(src).alias("src"), "next_token", F.col(dst).alias("dst"))
-        .agg(F.count("*").alias("n"))
+        .select(F.col(src).alias("src"), F.col(dst).alias("dst"), F.explode(contexts).alias("next_token"))
+        .groupBy("src", "next_token", "dst").agg(F.count("*").alias("n"))
+    )
+    best = F.min(F.struct((-F.col("n")).alias("rank"), "dst"))
+    return counted.groupBy("src", "next_token").agg(best.alias("best")).select(
+        "src", "next_token", F.col("best.dst").alias("dst"), (-F.col("best.rank")).alias("n")
     )
-    anywhere = counted.groupBy("src", "dst").agg(F.sum("n").alias("n"))
-
-    def best(frame: DataFrame, *keys: str) -> DataFrame:
-        top = F.min(F.struct((-F.col("n")).alias("rank"), "dst"))
-        return frame.groupBy(*keys).agg(top.alias("top")).select(
-            *keys, F.col("top.dst").alias("dst"), (-F.col("top.rank")).alias("n")
-        )
-
-    in_context = best(counted.where("next_token <> ''"), "src", "next_token")
-    back_off = best(anywhere, "src").withColumn("next_token", F.lit(None).cast("string"))
-    return in_context.unionByName(back_off).select("src", "next_token", "dst", "n")
 
 
 def _leftmost_longest(matches: Column) -> Column:
@@ -128,7 +136,7 @@ def convert(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame
         "place", (-F.col("width")).alias("order"), "width",
         F.coalesce("context_dst", "any_dst").alias("dst"),
     )
-    chosen = resolved.groupBy(key).agg(F.array_sort(F.collect_list(match)).alias("matches")).select(
+    chosen = resolved.groupBy(key).agg(F.sort_array(F.collect_list(match)).alias("matches")).select(
         key, _leftmost_longest(F.col("matches")).alias("kept")
     )
     joined = df.join(chosen, key, "left").withColumn("words", words).withColumn(

@@ -25,7 +25,10 @@ def balanced_lookup(
     total = table.agg(F.sum(weight)).scalar()
     is_hot = F.coalesce(F.col(weight) > HOT_SHARE * total, F.lit(False))
     hot = table.where(is_hot).select(*on, packed.alias("_hot"))
-    cold = table.where(~is_hot).select(*on, F.lit(0).alias("_salt"), packed.alias("_cold"))
+    # The table's salt is always 0, but written so that it is not folded into a
+    # literal: the optimiser would then drop it from the join key.
+    zero = F.pmod(F.hash(*on), F.lit(1))
+    cold = table.where(~is_hot).select(*on, zero.alias("_salt"), packed.alias("_cold"))
     missing = F.lit(False)
     for c in on:
         missing = missing | F.col(c).isNull()

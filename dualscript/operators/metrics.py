@@ -41,27 +41,31 @@ def _gram_counts(df: DataFrame, keys: list[str], tokenizer: Tokenizer, orders: i
     """``keys, order, gram, p, r``: n-gram counts per row in prediction and reference.
 
     Rows are spread by key while they are still short texts.  The n-grams, many
-    times larger, are then exploded and counted where they are.  A row of order
-    0 keeps texts without tokens in the result.
+    times larger, are then exploded and counted where they are.  The partition
+    count is fixed because adaptive merging would go by the size of the texts.
+    A row of order 0 keeps texts without tokens in the result.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = df.select(
         *keys, *[tokenizer(F.coalesce(c, F.lit(""))).alias(c) for c in ("pred", "ref")]
-    ).repartition(*keys)
-
-    def marked(side: str, n: int) -> Column:
-        return F.transform(
-            A.ngrams(F.col(side), n),
-            lambda g: F.struct(
-                F.lit(n).alias("order"), g.alias("gram"), F.lit(side == "pred").alias("is_pred")
-            ),
-        )
-
-    grams = [marked(side, n) for side in ("pred", "ref") for n in range(1, orders + 1)]
-    marker = F.array(
-        F.struct(F.lit(0).alias("order"), F.lit("").alias("gram"), F.lit(True).alias("is_pred"))
+    ).repartition(parts, *keys)
+    entries = [(F.lit(0), F.lit(True), F.array(F.lit("")))]
+    for side in ("pred", "ref"):
+        spread = spread.withColumn(f"{side}1", F.col(side))
+        for n in range(2, orders + 1):
+            shorter = F.col(f"{side}{n - 1}")
+            spread = spread.withColumn(f"{side}{n}", A.longer_grams(shorter, F.col(side), n))
+        entries += [
+            (F.lit(n), F.lit(side == "pred"), F.col(f"{side}{n}")) for n in range(1, orders + 1)
+        ]
+    lists = spread.select(
+        *keys,
+        F.stack(F.lit(len(entries)), *[c for entry in entries for c in entry]).alias(
+            "order", "is_pred", "grams"
+        ),
     )
     return (
-        spread.select(*keys, F.inline(F.concat(marker, *grams)))
+        lists.select(*keys, "order", "is_pred", F.explode("grams").alias("gram"))
         .groupBy(*keys, "order", "gram")
         .agg(F.count_if("is_pred").alias("p"), F.count_if(~F.col("is_pred")).alias("r"))
     )

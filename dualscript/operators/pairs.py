@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dualscript.functions import text as T
 from dualscript.operators.ranking import before, kth_smallest
+from dualscript.operators.staging import compute_once
 from dualscript.sources.storage import materialise
 
 VALID_FRACTION = 0.1  # fixed value: share of the first pairs that validates
@@ -24,18 +25,6 @@ def sentences(lines: DataFrame, delimiter: str | None = "::") -> DataFrame:
     )
 
 
-def _once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that later filters read without computing them again.
-
-    A filter on a projected column is pushed under the projection with the
-    whole expression copied into it.  It is not pushed through an explode.
-    """
-    made = F.struct(*[c.alias(name) for name, c in columns.items()])
-    kept = [c for c in df.columns if c not in columns]
-    wrapped = df.select(*kept, F.explode(F.array(made)).alias("_made"))
-    return wrapped.select(*kept, *[F.col(f"_made.{name}").alias(name) for name in columns])
-
-
 def valid_pairs(lines: DataFrame, delimiter: str | None = "::") -> DataFrame:
     """Lines that yield a pair, with ``num_col`` and ``sen_col``; one narrow stage.
 
@@ -45,10 +34,10 @@ def valid_pairs(lines: DataFrame, delimiter: str | None = "::") -> DataFrame:
     rest = [c for c in lines.columns if c != "raw"]
     marked = sentences(lines.where(F.contains(F.col("raw"), F.lit("("))), delimiter)
     # No step adds a digit, so a sentence without one cannot end with one.
-    worth = _once(marked, sentence=s).where(T.has_digit(s) & ~T.has_stray_digit(s))
-    plausible = _once(worth, brackets=T.bracket_list(s)).where(T.is_paired(F.col("brackets")))
+    worth = compute_once(marked, sentence=s).where(T.has_digit(s) & ~T.has_stray_digit(s))
+    plausible = compute_once(worth, brackets=T.bracket_list(s)).where(T.is_paired(F.col("brackets")))
     folded = plausible.withColumn("folded", T.fold_readings(s, F.col("brackets")))
-    cut = _once(
+    cut = compute_once(
         folded.select(*rest, "folded"),
         num=T.cut_brackets(F.col("folded"), "spelling"),
         sen=T.cut_brackets(F.col("folded"), "phonetic"),

@@ -9,6 +9,7 @@ from dualscript.functions import arrays as A
 from dualscript.functions import text as T
 from dualscript.operators.lookup import balanced_lookup
 from dualscript.operators.ranking import number_rows
+from dualscript.sources.storage import materialise
 
 # --- fixed values: reserved tokens; their ids are their positions ---
 SPECIALS = ("<s>", "</s>", "<unk>", "<pad>", "<mask>")
@@ -34,7 +35,7 @@ def build_vocab(df: DataFrame, *columns: str) -> DataFrame:
     reserved = df.sparkSession.createDataFrame(
         [(i, t, 0) for i, t in enumerate(SPECIALS)], "id bigint, token string, n bigint"
     )
-    return reserved.unionByName(counted.select("id", "token", "n"))
+    return materialise(reserved.unionByName(counted.select("id", "token", "n")), "vocabulary")
 
 
 def encode(
@@ -51,7 +52,7 @@ def encode(
     found = balanced_lookup(placed, table, ["token"], "n", [key, "place"])
     item = F.struct("place", F.coalesce("id", F.lit(UNK)).alias("id"))
     ids = F.transform(
-        F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), item))), lambda x: x["id"]
+        F.sort_array(F.collect_list(F.when(F.col("place").isNotNull(), item))), lambda x: x["id"]
     )
     out = found.groupBy(key).agg(ids.alias("ids"))
     if max_length is not None:
@@ -69,6 +70,6 @@ def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:
     found = balanced_lookup(placed, vocab.select("id", "token", "n"), ["id"], "n", [key, "place"])
     item = F.struct("place", "token")
     words = F.transform(
-        F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), item))), lambda x: x["token"]
+        F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), item))), lambda x: x["token"]
     )
     return found.groupBy(key).agg(F.array_join(words, " ").alias("text"))
