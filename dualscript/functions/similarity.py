@@ -33,19 +33,18 @@ def ratio_at_most(a: bytes, b: bytes, limit: float, autojunk: bool = True) -> bo
     # Matched bytes cannot exceed the common multiset.
     if 2.0 * int(np.minimum(in_a, in_b).sum()) / (la + lb) <= limit:
         return True
-    junk = autojunk and lb >= AUTOJUNK_MIN
-    if junk:
-        # A match must start from an infrequent byte of b; without one it is 0.
+    n = min(la, lb)
+    differ = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    prefix = int(differ.argmax()) if differ.any() else n
+    if autojunk and lb >= AUTOJUNK_MIN:
+        # A block grows from a byte that is infrequent in b.  If none is shared,
+        # only the common prefix counts, which is where the search starts.
         rare = (in_b > 0) & (in_b <= lb // 100 + 1)
         if not (rare & (in_a > 0)).any():
-            return 0.0 <= limit
-    else:
+            return 2.0 * prefix / (la + lb) <= limit
+    elif 2.0 * prefix / (la + lb) > limit:
         # The first block found is the longest, hence no shorter than the prefix.
-        n = min(la, lb)
-        differ = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
-        prefix = int(differ.argmax()) if differ.any() else n
-        if 2.0 * prefix / (la + lb) > limit:
-            return False
+        return False
     return byte_ratio(a, b, autojunk) <= limit
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from dualscript.sources.storage import materialise
 
 SMALL = 50_000  # bracket size at which one bounded top-k job finishes the search
-SAMPLE = 4_000  # positions sampled per round
+SAMPLE = 4_000  # positions sampled per round; far above 36, so that every round shrinks the bracket
 
 
 def _literal(value, dtype) -> Column:

@@ -112,6 +112,9 @@ CTES |= {
           SELECT *, i - row_number() OVER (PARTITION BY pair_id, d ORDER BY i) AS g FROM equal WHERE NOT popular)
         GROUP BY pair_id, d, g) s
         JOIN runs r ON r.pair_id = s.pair_id AND r.d = s.d AND r.i0 <= s.i0 AND s.i1 <= r.i1""",
+    # Without a seed in a region, only equal bytes at its very start form a block.
+    "starts": """SELECT *, true AS seed FROM seeds UNION ALL
+        SELECT pair_id, d, i0, i1, i0, i1, false FROM runs WHERE pair_id IN (SELECT pair_id FROM bytes_b WHERE popular)""",
     "sizes": "SELECT pair_id, octet_length(encode(num_col)) AS n, octet_length(encode(sen_col)) AS m FROM pair_rows",
     "blocks": """SELECT pair_id, CAST(1 AS BIGINT) AS alo, n + 1 AS ahi, CAST(1 AS BIGINT) AS blo, m + 1 AS bhi, CAST(0 AS BIGINT) AS k FROM sizes
       UNION ALL
@@ -121,11 +124,13 @@ CTES |= {
       FROM (
         SELECT *, greatest(r0, alo, blo + d) AS b, least(r1, ahi, bhi + d) AS e FROM (
           SELECT *, row_number() OVER (PARTITION BY pair_id, alo, blo ORDER BY e0 - b0 DESC, b0, b0 - d) AS rn FROM (
-            SELECT x.pair_id, x.alo, x.ahi, x.blo, x.bhi, s.d, s.r0, s.r1,
-              greatest(s.i0, x.alo, x.blo + s.d) AS b0, least(s.i1, x.ahi, x.bhi + s.d) AS e0
-            FROM blocks x JOIN seeds s ON s.pair_id = x.pair_id
-            WHERE x.alo < x.ahi AND x.blo < x.bhi) c
-          WHERE e0 > b0) r WHERE rn = 1) best, (VALUES (0), (1)) sides(side)""",
+            SELECT x.pair_id, x.alo, x.ahi, x.blo, x.bhi, s.d, s.r0, s.r1, s.seed,
+              CASE WHEN s.seed THEN greatest(s.i0, x.alo, x.blo + s.d) ELSE x.alo END AS b0,
+              CASE WHEN s.seed THEN least(s.i1, x.ahi, x.bhi + s.d) ELSE x.alo END AS e0
+            FROM blocks x JOIN starts s ON s.pair_id = x.pair_id
+            WHERE x.alo < x.ahi AND x.blo < x.bhi
+              AND (s.seed OR s.d = x.alo - x.blo AND s.i0 <= x.alo AND x.alo < s.i1)) c
+          WHERE e0 > b0 OR NOT seed) r WHERE rn = 1) best, (VALUES (0), (1)) sides(side)""",
     "ratios": """SELECT pair_id, CASE WHEN n + m = 0 THEN 1.0 ELSE 2.0 * sum(k) / (n + m) END AS ratio
         FROM blocks JOIN sizes USING (pair_id) GROUP BY pair_id, n, m""",
     "verdicts": """SELECT p.*, num_col <> '' AND sen_col <> '' OR num_col = sen_col AS sound,
