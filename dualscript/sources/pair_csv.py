@@ -37,10 +37,14 @@ def read_pairs(
                  columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
         .csv(paths)
     )
-    good = rows.where("_corrupt IS NULL").select(
+    # A row is only checked against the columns a query asks for, and Spark
+    # refuses to read the corrupt-record column alone.  This always true test
+    # asks for both columns even where only rows are counted.
+    both = (F.length("num_col") + F.length("sen_col") >= 0) | F.col("num_col").isNull() | F.col("sen_col").isNull()
+    good = rows.where(F.col("_corrupt").isNull() & both).select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in PAIR_COLUMNS]
     )
-    bad = rows.where("_corrupt IS NOT NULL").select(
+    bad = rows.where(F.col("_corrupt").isNotNull() & both).select(
         F.col("_corrupt").alias("line"),
         F.lit("not two fields").alias("reason"),
     )
