@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,20 +58,30 @@ def causal_examples(
 
 def encoded_examples(examples: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
     """``key, input_ids, labels, length``: labels end with the end-of-sequence id."""
-    source = V.encode(examples, key, "input", vocab).withColumnRenamed("ids", "input_ids")
-    target = V.encode(examples, key, "label", vocab, add_eos=True).withColumnRenamed("ids", "labels")
-    return source.join(target, key).withColumn("length", F.size("input_ids"))
+    ids = V.encode_texts(examples, key, {"input_ids": "input", "labels": "label"}, vocab)
+    return ids.withColumn("labels", V.end_ids(F.col("labels"))).withColumn(
+        "length", F.size("input_ids")
+    )
 
 
 def encoded_prompts(
     examples: DataFrame, key: str, vocab: DataFrame, max_length: int = PROMPT_MAX_LENGTH
 ) -> DataFrame:
     """Both sides cut to ``max_length`` with an end id, which the input then loses."""
-    source = V.encode(examples, key, "input", vocab, add_eos=True, max_length=max_length)
-    target = V.encode(examples, key, "label", vocab, add_eos=True, max_length=max_length)
-    return source.select(key, A.drop_last(F.col("ids")).alias("input_ids")).join(
-        target.withColumnRenamed("ids", "labels"), key
-    )
+    ids = V.encode_texts(examples, key, {"input_ids": "input", "labels": "label"}, vocab)
+    ended = {c: V.end_ids(F.col(c), True, max_length) for c in ("input_ids", "labels")}
+    return ids.withColumns(ended).withColumn("input_ids", A.drop_last(F.col("input_ids")))
+
+
+def map_batches(
+    examples: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str
+) -> DataFrame:
+    """A user's own row transformation, run on Arrow batches inside the tasks.
+
+    Built-in columns cover the forms above; this is for functions that only
+    exist in Python.  ``schema`` names the columns that remain.
+    """
+    return examples.mapInPandas(lambda batches: (fn(b) for b in batches), schema)
 
 
 def length_buckets(df: DataFrame, text: str, buckets: int) -> DataFrame:

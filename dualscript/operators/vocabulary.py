@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dualscript.functions import arrays as A
@@ -38,28 +38,45 @@ def build_vocab(df: DataFrame, *columns: str) -> DataFrame:
     return materialise(reserved.unionByName(counted.select("id", "token", "n")), "vocabulary")
 
 
-def encode(
-    df: DataFrame, key: str, text: str, vocab: DataFrame, add_eos: bool = False,
-    max_length: int | None = None,
-) -> DataFrame:
-    """``key, ids``: token ids of a text in order, unknown tokens as ``<unk>``.
+def encode_texts(df: DataFrame, key: str, texts: dict[str, str], vocab: DataFrame) -> DataFrame:
+    """``key`` and, per entry ``name: text column``, the token ids of that text.
 
-    ``key`` must be unique.  With both options the ids are cut to ``max_length``
-    end-of-sequence included.
+    ``key`` must be unique.  All texts share one lookup and one regrouping.
+    Unknown tokens become ``<unk>``.
     """
-    placed = df.select(key, F.posexplode_outer(T.tokens(F.col(text))).alias("place", "token"))
+    sides = F.array(*[
+        F.struct(F.lit(name).alias("side"), T.tokens(F.col(text)).alias("words"))
+        for name, text in texts.items()
+    ])
+    placed = df.select(key, F.inline(sides)).select(
+        key, "side", F.posexplode_outer("words").alias("place", "token")
+    )
     table = vocab.select("token", F.col("id").cast("int").alias("id"), "n")
-    found = balanced_lookup(placed, table, ["token"], "n", [key, "place"])
+    found = balanced_lookup(placed, table, ["token"], "n", [key, "side", "place"])
     item = F.struct("place", F.coalesce("id", F.lit(UNK)).alias("id"))
-    ids = F.transform(
-        F.sort_array(F.collect_list(F.when(F.col("place").isNotNull(), item))), lambda x: x["id"]
-    )
-    out = found.groupBy(key).agg(ids.alias("ids"))
+
+    def ids_of(side: str) -> Column:
+        mine = (F.col("side") == side) & F.col("place").isNotNull()
+        placed_ids = F.sort_array(F.collect_list(F.when(mine, item)))
+        return F.transform(placed_ids, lambda x: x["id"]).alias(side)
+
+    return found.groupBy(key).agg(*[ids_of(side) for side in texts])
+
+
+def end_ids(ids: Column, add_eos: bool = True, max_length: int | None = None) -> Column:
+    """Cut to ``max_length``, the end-of-sequence id included."""
     if max_length is not None:
-        out = out.withColumn("ids", A.truncate(F.col("ids"), max_length - int(add_eos)))
-    if add_eos:
-        out = out.withColumn("ids", A.append_id(F.col("ids"), EOS))
-    return out
+        ids = A.truncate(ids, max_length - int(add_eos))
+    return A.append_id(ids, EOS) if add_eos else ids
+
+
+def encode(
+    df: DataFrame, key: str, text: str, vocab: DataFrame, add_eos: bool = False,
+    max_length: int | None = None,
+) -> DataFrame:
+    """``key, ids``: token ids of one text in order."""
+    out = encode_texts(df, key, {"ids": text}, vocab)
+    return out.withColumn("ids", end_ids(F.col("ids"), add_eos, max_length))
 
 
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:

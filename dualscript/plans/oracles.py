@@ -340,6 +340,7 @@ _MAPPED = {
     "examples_ttn": "SELECT pos, sen_col AS input, num_col AS label FROM pairs",
     "examples_prompt": "SELECT pos, 'translation_num_to_txt: ' || num_col AS input, sen_col AS label FROM pairs",
     "examples_causal": """SELECT pos, t AS input, t AS label FROM (SELECT pos, '<s>' || sen_col || '</s><s>' || num_col || '</s>' AS t FROM pairs)""",
+    "mapped_examples": "SELECT pos, num_col || '</s>' AS input, sen_col || '</s>' AS label FROM pairs",
     "csv_union": """SELECT pair_id, -1 AS pos, num_col, sen_col FROM pair_rows
         UNION ALL SELECT -1, pos, num_col, sen_col FROM pairs""",
     "vocabulary_ids": f"SELECT id, token, n FROM vocab UNION ALL {_SPECIALS}",

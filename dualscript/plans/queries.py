@@ -53,6 +53,11 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.sentence_pairs(_lines(spark, sf))
 
 
+def _stored_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs that several steps of a query read."""
+    return storage.materialise(_pairs(spark, sf), "pairs")
+
+
 def _files(spark: SparkSession, sf: str, is_train: bool = True) -> DataFrame:
     return corpus.label_files(tree.select_split(fixture(spark, sf, "raw_files"), is_train))
 
@@ -372,6 +377,16 @@ def examples_causal(spark, sf):
     return examples.causal_examples(_pairs(spark, sf), examples.TEXT_TO_NUM)
 
 
+@query
+def mapped_examples(spark, sf):
+    """A user function over batches that drops the source columns."""
+
+    def ended(batch):
+        return batch.assign(input=batch.num_col + "</s>", label=batch.sen_col + "</s>")[["pos", "input", "label"]]
+
+    return examples.map_batches(_pairs(spark, sf), ended, "pos bigint, input string, label string")
+
+
 @query
 def csv_union(spark, sf):
     """Pairs of two sources stacked by column name."""
@@ -391,7 +406,7 @@ def vocabulary_docs(spark, sf):
 
 @query
 def encode_ids(spark, sf):
-    p = _pairs(spark, sf)
+    p = _stored_pairs(spark, sf)
     v = vocabulary.build_vocab(p, "num_col", "sen_col")
     e = examples.encoded_examples(examples.directed_examples(p, examples.NUM_TO_TEXT), "pos", v)
     return e.select(
@@ -403,7 +418,7 @@ def encode_ids(spark, sf):
 @query
 def encode_prompts(spark, sf):
     """Prompt examples over a vocabulary without the prompt, cut to a few ids."""
-    p = _pairs(spark, sf)
+    p = _stored_pairs(spark, sf)
     v = vocabulary.build_vocab(p, "num_col", "sen_col")
     e = examples.encoded_prompts(examples.prompt_examples(p), "pos", v, max_length=3)
     return e.select("pos", _ids("input_ids").alias("input_ids"), _ids("labels").alias("labels"))
@@ -412,7 +427,7 @@ def encode_prompts(spark, sf):
 @query
 def decode_ids(spark, sf):
     """Texts that went through their ids, reserved ids skipped."""
-    p = _pairs(spark, sf)
+    p = _stored_pairs(spark, sf)
     v = vocabulary.build_vocab(p, "sen_col")
     return vocabulary.decode(vocabulary.encode(p, "pos", "sen_col", v, add_eos=True), "pos", "ids", v)
 
@@ -533,13 +548,10 @@ def decoded_bleu(spark, sf):
     p = _pred_ref(spark, sf).withColumn("row_id", F.col("conv_id") * 1000 + F.col("turn"))
     v = vocabulary.build_vocab(p, "pred", "ref")
     pad = F.array(F.lit(-100), F.lit(-100))
-    sides = [
-        vocabulary.encode(p, "row_id", side, v, add_eos=True).select(
-            "row_id", F.concat("ids", pad).alias(f"{name}_ids")
-        )
-        for side, name in (("pred", "pred"), ("ref", "label"))
-    ]
-    both = sides[0].join(sides[1], "row_id")
+    both = vocabulary.encode_texts(p, "row_id", {"pred_ids": "pred", "label_ids": "ref"}, v)
+    both = both.withColumns(
+        {c: F.concat(vocabulary.end_ids(F.col(c)), pad) for c in ("pred_ids", "label_ids")}
+    )
     return _rounded(metrics.corpus_bleu(metrics.decode_predictions(both, "row_id", v), ["row_id"]))
 
 
@@ -566,7 +578,7 @@ def spelling_lexicon(spark, sf):
 @query
 def lexicon_convert(spark, sf):
     lines = _lines(spark, sf)
-    out = lexicon.convert(pairs.sentence_pairs(lines), "pos", "num_col", lexicon.reading_lexicon(lines))
+    out = lexicon.convert(_stored_pairs(spark, sf), "pos", "num_col", lexicon.reading_lexicon(lines))
     return out.select("pos", "num_col", "converted")
 
 
@@ -574,7 +586,7 @@ def lexicon_convert(spark, sf):
 def lexicon_convert_back(spark, sf):
     lines = _lines(spark, sf)
     lex = lexicon.reading_lexicon(lines, examples.TEXT_TO_NUM)
-    out = lexicon.convert(pairs.sentence_pairs(lines), "pos", "sen_col", lex)
+    out = lexicon.convert(_stored_pairs(spark, sf), "pos", "sen_col", lex)
     return out.select("pos", "sen_col", "converted")
 
 
@@ -582,7 +594,7 @@ def lexicon_convert_back(spark, sf):
 def lexicon_eval(spark, sf):
     """Converted numerals scored against the spelled-out side."""
     lines = _lines(spark, sf)
-    out = lexicon.convert(pairs.sentence_pairs(lines), "pos", "num_col", lexicon.reading_lexicon(lines))
+    out = lexicon.convert(_stored_pairs(spark, sf), "pos", "num_col", lexicon.reading_lexicon(lines))
     scored = out.select("pos", F.col("converted").alias("pred"), F.col("sen_col").alias("ref"))
     return _rounded(metrics.evaluate(scored, ["pos"]))
 
