@@ -291,7 +291,7 @@ _MAPPED = {
     "bracket_pairs": "SELECT pos, k AS i, br[2 * k + 1] AS first, br[2 * k + 2] AS second FROM b, unnest(range(0, len(br) // 2)) u(k)",
     "reading_fold": "SELECT pos, folded FROM f",
     "whitespace_tokens": f"""SELECT doc_id, len({words('text')}) AS n_tokens, md5(array_to_string({words('text')}, '|')) AS digest FROM documents""",
-    "text_sizes": """SELECT pair_id, length(sen_col) AS n_chars, octet_length(encode(sen_col)) AS n_bytes, hex(encode(left(sen_col, 4))) AS head_hex,
+    "text_sizes": """SELECT pair_id, length(sen_col) AS n_chars, octet_length(encode(sen_col)) AS n_bytes, hex(encode(sen_col)) AS bytes_hex,
         right(sen_col, 1) AS last_char, regexp_matches(right(sen_col, 1), '[가-힣]') AS last_hangul FROM pair_rows""",
     "path_parts": "SELECT doc_id, dir, file_name FROM raw_files",
     "vendor_gate": """SELECT scenario, vendor, n_files, vendor IN ('티맥스소프트', '솔루게이트') AS accepted,

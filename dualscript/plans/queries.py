@@ -145,7 +145,7 @@ def text_sizes(spark, sf):
         "pair_id",
         F.length(c).cast("bigint").alias("n_chars"),
         F.octet_length(c).cast("bigint").alias("n_bytes"),
-        F.hex(T.utf8(F.substring(c, 1, 4))).alias("head_hex"),
+        F.hex(T.utf8(c)).alias("bytes_hex"),
         T.last_char(c).alias("last_char"),
         T.is_hangul(T.last_char(c)).alias("last_hangul"),
     )
