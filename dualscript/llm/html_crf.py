@@ -29,7 +29,7 @@ CLOSED_BY = {  # an open element that the start of another one ends
 
 SAMPLE_PAGES = 240  # pages of the input that teach, about; the bound of what reaches the driver
 SAMPLE_BYTES = 65_536  # longer pages do not teach
-EPOCHS, RATE, DECAY = 25, 0.3, 1e-4
+EPOCHS, RATE, DECAY = 10, 0.3, 1e-4
 STATES = 2  # 0 other, 1 main text
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"

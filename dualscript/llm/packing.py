@@ -184,14 +184,24 @@ def pack_residual(left: dict[int, int], bins: list[Bins], capacity: int = CAPACI
 
 
 def plan(histogram: np.ndarray) -> list[Bins]:
-    """Sequences that hold every length of the histogram, as groups of equal ones."""
+    """Sequences that hold every length of the histogram, as groups of equal ones.
+
+    The fitted counts are rounded to the nearest number, down, or, as in a
+    histogram of a few documents no pattern repeats, to none; the rest is
+    packed as residual and the fewest sequences win.
+    """
     capacity = len(histogram) - 1
+    fitted = sorted(fit_patterns(histogram).items(), key=lambda kv: (-kv[1], kv[0]))
+    plans = [_rounded(histogram, fitted, shift, capacity) for shift in (0.5, 0.0, -np.inf)]
+    return min(plans, key=lambda bins: sum(b.times for b in bins))
+
+
+def _rounded(histogram: np.ndarray, fitted: list, shift: float, capacity: int) -> list[Bins]:
     left = {n: int(c) for n, c in enumerate(histogram) if c and n}
     bins = [Bins((capacity,), left.pop(capacity))] if left.get(capacity) else []
-    fitted = fit_patterns(histogram)
-    for p, v in sorted(fitted.items(), key=lambda kv: (-kv[1], kv[0])):
+    for p, v in fitted if shift >= 0 else ():
         need = {a: p.count(a) for a in p}
-        times = min([int(round(v)), *(left.get(a, 0) // k for a, k in need.items())])
+        times = min([int(v + shift), *(left.get(a, 0) // k for a, k in need.items())])
         if times > 0:
             bins.append(Bins(tuple(sorted(p, reverse=True)), times))
             for a, k in need.items():
