@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dualscript.sources.storage import materialise
+from dualscript.sources.storage import materialise, path_exists
 
 # --- fixed values: the white space and the letters that the contracts name ---
 WHITE = " \t\n\x0b\x0c\r"
@@ -33,6 +33,29 @@ def unpack(packed: DataFrame, docs: DataFrame, key: str, text: str, **changed: C
     return packed.select(*[value(c).alias(c) for c in docs.columns])
 
 
+def stored(df: DataFrame, label: str, *spent: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder; then ``spent`` stored tables are deleted.
+
+    The driver is asked to collect its garbage: only then does Spark drop the
+    shuffle files of the jobs that are done.
+    """
+    out = materialise(df, label)
+    drop(*spent)
+    out.sparkSession._jvm.System.gc()
+    return out
+
+
+def drop(*spent: DataFrame) -> None:
+    """Delete the folders of tables that ``stored`` wrote and nothing reads any more."""
+    for df in spent:
+        spark = df.sparkSession
+        for file in df.inputFiles()[:1]:
+            folder = file.rsplit("/", 1)[0]
+            if path_exists(spark, f"{folder}/_SUCCESS"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it in lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -48,32 +71,32 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
     combines before the shuffle, and a join that AQE may split.
     """
     pair = F.array_sort(F.array("a", "b"))
-    now = materialise(
+    now = stored(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.get(pair, F.lit(0)).alias("lo"), F.get(pair, F.lit(1)).alias("hi")).distinct(),
         f"{label}-edges",
     )
 
     def check(df: DataFrame):
-        return df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)")), F.lit(0))).first()
+        mark = F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))
+        return df.agg(F.count("*"), F.coalesce(mark, F.lit(0))).first()
 
     before = check(now)
     while before[0]:
         both = now.select(F.col("lo").alias("n"), F.col("hi").alias("m")).unionByName(
             now.select(F.col("hi").alias("n"), F.col("lo").alias("m")))
-        least = both.groupBy("n").agg(F.min("m").alias("m")).select(
-            "n", F.least("n", "m").alias("root"))
-        # large star: every larger neighbour of n moves to n's smallest neighbour
+        least = both.groupBy("n").agg(F.min("m").alias("m")).select("n", F.least("n", "m").alias("root"))
+        # large star: every larger neighbour of n moves to the smallest of n and its neighbours
         large = both.where("m > n").join(least, "n").select(
             F.col("root").alias("lo"), F.col("m").alias("hi")).where("lo <> hi").distinct()
-        large = materialise(large, f"{label}-large")
+        large = stored(large, f"{label}-large", now)
         # small star: n and its smaller neighbours move to the smallest of these
         down = large.groupBy("hi").agg(F.min("lo").alias("root"))
         small = large.join(down, "hi").select(
             F.explode(F.array(F.struct(F.col("root").alias("lo"), F.col("hi")),
                               F.struct(F.col("root").alias("lo"), F.col("lo").alias("hi")))).alias("e")
         ).select("e.*").where("lo <> hi").distinct()
-        now = materialise(small, f"{label}-edges")
+        now = stored(small, f"{label}-edges", large)
         after = check(now)
         if after == before:
             break
