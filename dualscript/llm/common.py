@@ -23,10 +23,10 @@ def pack(docs: DataFrame, key: str, text: str) -> DataFrame:
                        rest.alias("_rest"))
 
 
-def unpack(packed: DataFrame, docs: DataFrame, key: str, text: str, **changed: Column) -> DataFrame:
+def unpack(packed: DataFrame, docs: DataFrame, key: str, text: str, changed: dict[str, Column] | None = None) -> DataFrame:
     """The columns of ``docs`` in their order; ``changed`` replaces some of them."""
     def value(c: str) -> Column:
-        if c in changed:
+        if changed and c in changed:
             return changed[c]
         return F.col("_id") if c == key else F.col("_text") if c == text else F.col("_rest")[c]
 

@@ -97,4 +97,4 @@ def drop_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     if size in docs.columns:
         changed[size] = F.when(F.col("n_dropped") > 0, F.char_length("kept_text")).otherwise(
             F.col("_rest")[size]).cast(docs.schema[size].dataType)
-    return unpack(out, docs, key, text, **changed)
+    return unpack(out, docs, key, text, changed)
