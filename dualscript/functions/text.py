@@ -31,7 +31,7 @@ MODES = ("spelling", "phonetic")
 
 def _check_mode(mode: str) -> None:
     if mode not in MODES:
-        raise ValueError(f"Unsupported mode: {mode!r}; expected one of {MODES}")
+        raise ValueError(f"mode is {mode!r}, must be one of {MODES}")
 
 
 def has_digit(text: Column) -> Column:
@@ -79,7 +79,9 @@ def has_stray_digit(text: Column) -> Column:
     Text lies outside brackets from the start or a closing bracket up to the
     next opening one, and after an opening bracket that is never closed.
     """
-    return text.rlike(rf"(?:\A|\))[^()]*{DIGIT}|\([^)]*{DIGIT}[^)]*\z")
+    # The tail is found first and possessively: a long run of digits is read once.
+    tail = F.regexp_extract(text, r"\([^)]*+\z", 0)
+    return text.rlike(rf"(?:\A|\))[^()]*{DIGIT}") | tail.rlike(DIGIT)
 
 
 def bracket_list(text: Column) -> Column:

@@ -65,9 +65,12 @@ def encoded_examples(examples: DataFrame, key: str, vocab: DataFrame) -> DataFra
 
 
 def encoded_prompts(
-    examples: DataFrame, key: str, vocab: DataFrame, max_length: int = PROMPT_MAX_LENGTH
+    examples: DataFrame, key: str, vocab: DataFrame, max_length: int | None = None
 ) -> DataFrame:
-    """Both sides cut to ``max_length`` with an end id, which the input then loses."""
+    """Both sides with an end id, which the input then loses.
+
+    A ``max_length``, such as the prompt form's ``PROMPT_MAX_LENGTH``, cuts them; by default they stay whole.
+    """
     ids = V.encode_texts(examples, key, {"input_ids": "input", "labels": "label"}, vocab)
     ended = {c: V.end_ids(F.col(c), True, max_length) for c in ("input_ids", "labels")}
     return ids.withColumns(ended).withColumn("input_ids", A.drop_last(F.col("input_ids")))

@@ -45,20 +45,20 @@ SELECT source AS scenario, CASE length(source) % 3 WHEN 0 THEN '한국전자통
   WHEN 1 THEN '티맥스소프트' ELSE '솔루게이트' END AS vendor, count(*) AS n_files
 FROM {documents} GROUP BY source""",
     "pair_rows": f"""
-SELECT doc_id AS pair_id,
-  CASE doc_id % 7 WHEN 0 THEN concat(k, '번 ', b) WHEN 1 THEN concat(k, ' 가나다') WHEN 2 THEN concat(k, ' abc')
+SELECT id AS pair_id,
+  CASE id % 7 WHEN 0 THEN concat(k, '번 ', b) WHEN 1 THEN concat(k, ' 가나다') WHEN 2 THEN concat(k, ' abc')
     WHEN 3 THEN concat(b, ' ', k, '번') WHEN 4 THEN concat('가', k, '나') WHEN 5 THEN concat(k, '.')
     ELSE concat(repeat('가나다라', 20), k, '나') END AS num_col,
-  CASE doc_id % 7 WHEN 0 THEN concat(r, '번 ', b) WHEN 1 THEN b WHEN 2 THEN '하나둘셋'
+  CASE id % 7 WHEN 0 THEN concat(r, '번 ', b) WHEN 1 THEN b WHEN 2 THEN '하나둘셋'
     WHEN 3 THEN concat('다른 ', replace(b, 'e', '가')) WHEN 4 THEN '다라' WHEN 5 THEN concat('끝', '.')
     ELSE concat('나다라', repeat('가나다라', 19), r, '다') END AS sen_col
-FROM (SELECT doc_id, replace(substr(text, 1, 60), chr(10), ' ') AS b, CAST(doc_id AS STRING) AS k,
-        {_READ.format('doc_id')} AS r FROM {{documents}}) t""",
+FROM (SELECT id, replace(text, chr(10), ' ') AS b, CAST(id AS STRING) AS k, {_READ.format('id')} AS r
+      FROM (SELECT conv_id * 1000 + turn AS id, text FROM {{conversations}}) c) t""",
     "pred_ref": """
 SELECT a.conv_id, a.turn, replace(a.text, chr(10), ' ') AS ref,
-  replace(CASE WHEN a.turn % 2 = 0 THEN substr(a.text, 1, 80)
-               ELSE concat(b.text, ' ', substr(a.text, 1, 40)) END, chr(10), ' ') AS pred
-FROM {conversations} a JOIN {conversations} b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1""",
+  replace(CASE WHEN a.turn % 2 = 0 THEN replace(a.text, ' the ', ' ')
+               ELSE concat(coalesce(b.text, ''), ' ', a.text) END, chr(10), ' ') AS pred
+FROM {conversations} a LEFT JOIN {conversations} b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1""",
 }
 
 
@@ -77,8 +77,8 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table, stored once per session like any other input table."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        frames = {s: table(spark, sf_dir, s) for s in sources(name)}
-        _STORED[key] = materialise(spread(spark.sql(FIXTURES[name], **frames)), name)
+        frames = {s: spread(table(spark, sf_dir, s)) for s in sources(name)}
+        _STORED[key] = materialise(spark.sql(FIXTURES[name], **frames), name)
     return _STORED[key]
 
 

@@ -206,7 +206,14 @@ def domain_paths(spark, sf):
 @query
 def domain_dir_lists(spark, sf):
     lists = corpus.domain_dir_lists(_files(spark, sf), list(QUOTA))
-    return lists.select("domain", F.array_join("dirs", " ").alias("dirs"))
+    return lists.select("domain", "list_no", F.array_join("dirs", " ").alias("dirs"))
+
+
+@query
+def domain_dir_lists_small(spark, sf):
+    """Lists small enough to split the domains here."""
+    lists = corpus.domain_dir_lists(_files(spark, sf), list(QUOTA), list_size=4)
+    return lists.select("domain", "list_no", F.array_join("dirs", " ").alias("dirs"))
 
 
 @query
@@ -417,10 +424,20 @@ def encode_ids(spark, sf):
 
 @query
 def encode_prompts(spark, sf):
-    """Prompt examples over a vocabulary without the prompt, cut to a few ids."""
+    """Whole prompt examples over a vocabulary without the prompt."""
+    return _prompts(spark, sf, None)
+
+
+@query
+def encode_prompts_cut(spark, sf):
+    """The same with a limit of a few ids as the feature under test."""
+    return _prompts(spark, sf, 3)
+
+
+def _prompts(spark: SparkSession, sf: str, max_length: int | None) -> DataFrame:
     p = _stored_pairs(spark, sf)
     v = vocabulary.build_vocab(p, "num_col", "sen_col")
-    e = examples.encoded_prompts(examples.prompt_examples(p), "pos", v, max_length=3)
+    e = examples.encoded_prompts(examples.prompt_examples(p), "pos", v, max_length)
     return e.select("pos", _ids("input_ids").alias("input_ids"), _ids("labels").alias("labels"))
 
 
@@ -487,8 +504,10 @@ def argmax_rows(spark, sf):
     """One vector as four positions over a quarter of its length each."""
     e = table(spark, sf, "embeddings")
     quarter = (F.size("embedding") / 4).cast("int")
+    # the last position takes what four equal parts leave over
+    size = lambda i: F.when(i < 3, quarter).otherwise(F.size("embedding") - 3 * quarter)
     logits = F.transform(
-        F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("embedding", i * quarter + 1, quarter)
+        F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("embedding", i * quarter + 1, size(i))
     )
     best = e.select("vec_id", A.arg_max_rows(logits).alias("best"))
     return best.select("vec_id", _ids("best").alias("best"))
@@ -592,9 +611,15 @@ def lexicon_convert_back(spark, sf):
 
 @query
 def lexicon_eval(spark, sf):
-    """Converted numerals scored against the spelled-out side."""
-    lines = _lines(spark, sf)
-    out = lexicon.convert(_stored_pairs(spark, sf), "pos", "num_col", lexicon.reading_lexicon(lines))
+    """Converted numerals of the valid split scored against the spelled-out side.
+
+    The lexicon is learned from lines whose place does not lie in that split.
+    """
+    split = pairs.head_split(_pairs(spark, sf))
+    held = split.where("split = 'valid'")
+    lines = _lines(spark, sf).join(held.select("pos"), "pos", "left_anti")
+    converted = lexicon.convert(held, "pos", "num_col", lexicon.reading_lexicon(lines))
+    out = storage.materialise(converted, "converted")
     scored = out.select("pos", F.col("converted").alias("pred"), F.col("sen_col").alias("ref"))
     return _rounded(metrics.evaluate(scored, ["pos"]))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAIR_COLUMNS = ("num_col", "sen_col")
@@ -46,11 +46,17 @@ def read_pairs(
     )
     bad = rows.where(F.col("_corrupt").isNotNull() & both).select(
         F.col("_corrupt").alias("line"),
-        F.lit("not two fields").alias("reason"),
+        _fault(F.col("_corrupt")).alias("reason"),
     )
     return good, bad
 
 
+def _fault(line: Column) -> Column:
+    """Why a line is no pair, by its commas outside quotes."""
+    commas = F.regexp_count(F.regexp_replace(line, '"(?:[^"]|"")*+"', ""), F.lit(","))
+    return F.when(commas < 1, "too few fields").when(commas > 1, "too many fields").otherwise("malformed")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Union by column name; columns missing from one side are NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -20,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="dualscript-"))
     return context.getCheckpointDir()
@@ -39,7 +39,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core some rows of a small input.
+    """Give every core some rows of a small table.
+
+    Only for a plain scan: asking a plan with a shuffle for its partitions runs it.
 
     A table of a few blocks is read by a few tasks.  Larger inputs already
     have more partitions than cores and are returned as they are, unmoved.

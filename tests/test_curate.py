@@ -73,7 +73,7 @@ def test_ragged_csv(spark, tmp_path):
     path.write_text('num_col,sen_col\r\na,b\nonly\nx,y,z\n\n"q ""w"", 1",v\ne,\n', newline="")
     good, bad = pair_csv.read_pairs(spark, str(path))
     assert {tuple(r) for r in good.collect()} == {("a", "b"), ('q "w", 1', "v"), ("e", "")}
-    assert {r.line for r in bad.collect()} == {"only", "x,y,z"}
+    assert {(r.line, r.reason) for r in bad.collect()} == {("only", "too few fields"), ("x,y,z", "too many fields")}
     assert (good.count(), bad.count()) == (3, 2)
     assert pair_csv.read_pairs(spark, str(path), header=False)[0].where("num_col = 'num_col'").count() == 1
 

@@ -1,13 +1,19 @@
 import pytest
 
 import __spark_entry__ as driver
+from dualscript.plans.queries import QUERIES
 from tools.check import connect, rows
 
 SF = driver.SMOKE_DIR
 
 
+#: Compared with brute force in test_curate.py; the recursive SQL takes minutes.
+WITHOUT_SQL = {"pair_filter_no_autojunk"}
+
+
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) - set(driver.oracle_sql()) == WITHOUT_SQL
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_flagship(spark):

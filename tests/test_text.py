@@ -47,7 +47,7 @@ def test_stray_digit_equals_removal_then_search(frame, bracket_strings):
 
 
 def test_unknown_mode():
-    with pytest.raises(ValueError, match="Unsupported mode"):
+    with pytest.raises(ValueError, match="must be one of"):
         T.bracket_text(F.lit("x"), "other")
 
 
