@@ -19,7 +19,7 @@ from dualscript.sources.storage import materialise
 
 CAPACITY = 1024
 END = 2
-CACHE_WORDS = 400_000  # words whose ids a worker remembers; the memory bound
+CACHE_WORDS = 1_200_000  # words whose ids a worker remembers; the memory bound
 ROUNDS, SWEEPS = 6, 30  # of pattern enumeration, and of the least squares after each
 
 
@@ -55,10 +55,14 @@ class WordIds(dict):
 def parts_of(text: str) -> list[str]:
     """Cut a text into parts that are encoded alike alone and in place."""
     out: list[str] = []
-    if "  " not in text and text[:1] != " " and text[-1:] != " " and " \n" not in text and "\n " not in text:
-        plain = text.split(" ")
-        out.append(plain[0])
-        out.extend([" " + w for w in plain[1:]])
+    if len(text.split()) == text.count(" ") + text.count("\n") + 1:
+        # all white space is single, between visible characters
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append("\n")
+            plain = line.split(" ")
+            out.append(plain[0])
+            out.extend([" " + w for w in plain[1:]])
     else:
         # a space next to white space stays with what stands before it
         held = None
