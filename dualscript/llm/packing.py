@@ -55,27 +55,29 @@ class WordIds(dict):
 def parts_of(text: str) -> list[str]:
     """Cut a text into parts that are encoded alike alone and in place."""
     out: list[str] = []
-    if len(text.split()) == text.count(" ") + text.count("\n") + 1:
-        # all white space is single, between visible characters
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            plain = line.split(" ")
-            out.append(plain[0])
-            out.extend([" " + w for w in plain[1:]])
+    for k, line in enumerate(text.split("\n")):
+        plain = line.split(" ")
+        if plain != line.split():
+            break
+        # all white space of this line is single spaces between visible characters
+        if k:
+            out.append("\n")
+        out.append(plain[0])
+        out.extend([" " + w for w in plain[1:]])
     else:
-        # a space next to white space stays with what stands before it
-        held = None
-        for i, w in enumerate(text.split(" ")):
-            piece = w if i == 0 else " " + w
-            if held is None:
-                held = piece
-            elif w and not held[-1:].isspace() and held and not w[0].isspace():
-                out.append(held)
-                held = piece
-            else:
-                held += piece
-        out.append(held or "")
+        return out
+    # a space next to white space stays with what stands before it
+    out, held = [], None
+    for i, w in enumerate(text.split(" ")):
+        piece = w if i == 0 else " " + w
+        if held is None:
+            held = piece
+        elif w and not held[-1:].isspace() and held and not w[0].isspace():
+            out.append(held)
+            held = piece
+        else:
+            held += piece
+    out.append(held or "")
     return out
 
 
