@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ from dualscript.sources.storage import materialise
 
 CAPACITY = 1024
 END = 2
-CACHE_WORDS = 1_200_000  # words whose ids a worker remembers; the memory bound
+CACHE_WORDS = 800_000  # words whose ids a worker remembers; the memory bound
 ROUNDS, SWEEPS = 6, 30  # of pattern enumeration, and of the least squares after each
 
 
@@ -34,22 +35,46 @@ def _tokenizer(spec: str) -> Tokenizer:
 
 
 class WordIds(dict):
-    """Ids of words as little-endian bytes; words not yet met are encoded in one batch.
+    """Ids of words as little-endian bytes; words not yet met are encoded together.
 
     The tokenizer cuts a text before every single space or line feed between
     visible characters, whatever stands around it, so these parts can be
-    encoded on their own and remembered.
+    encoded on their own and remembered.  New ones are joined by line feeds,
+    encoded in one call, and told apart by the line feed's own id.
     """
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
+        self.feed = self._encode("\n")
+
+    def _encode(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.asarray(found.ids, "<u4")
 
     def learn(self, parts: list[str]) -> None:
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = list({p for p in parts if p not in self})
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[part] = np.asarray(found.ids, "<u4").tobytes()
+        words = []
+        for part in {p for p in parts if p not in self}:
+            if part.split() == [part[1:] if part[:1] == " " else part]:
+                words.append(part)
+            else:  # it holds other white space
+                self[part] = self._encode(part).tobytes()
+        if not words:
+            return
+        ids = self._encode("\n".join(words))
+        ends = np.append(np.flatnonzero(ids == self.feed[0]), len(ids)) * 4
+        raw, start = ids.tobytes(), 0
+        for word, end in zip(words, ends.tolist(), strict=True):
+            self[word] = raw[start:end]
+            start = end + 4
+
+
+@functools.lru_cache(maxsize=2)
+def _remembered(spec: str) -> WordIds:
+    """One memory of words for all tasks of a worker, which encodes on one core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordIds(_tokenizer(spec))
 
 
 def parts_of(text: str) -> list[str]:
@@ -242,7 +267,7 @@ def pieces_of_docs(docs: DataFrame, tokenizer: str, key: str, text: str, capacit
     end = np.asarray([END], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, part, ranks = WordIds(_tokenizer(spec.value)), TaskContext.get().partitionId(), defaultdict(int)
+        ids, part, ranks = _remembered(spec.value), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             columns: list[list] = [[] for _ in range(7)]
             for key_, t in zip(batch["_id"], batch["_text"]):
