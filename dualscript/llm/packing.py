@@ -34,45 +34,74 @@ def _tokenizer(spec: str) -> Tokenizer:
 
 
 class WordIds(dict):
-    """Ids of words as little-endian bytes; words not yet met are encoded in one batch.
+    """Remembered ids, as little-endian bytes, of the parts of texts.
 
     The tokenizer cuts a text before every single space or line feed between
-    visible characters, whatever stands around it, so these parts can be
-    encoded on their own and remembered.
+    visible characters, whatever stands around it, so what lies between two such
+    cuts can be encoded on its own.  A key without white space stands for that
+    word after a space, a key that starts with a line feed for that line start.
     """
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
-
-    def learn(self, parts: list[str]) -> None:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = list({p for p in parts if p not in self})
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[part] = np.asarray(found.ids, "<u4").tobytes()
+        self.feed = self._encode("\n")
+
+    def _encode(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.asarray(found.ids, "<u4")
+
+    def ids(self, text: str) -> bytes:
+        """The ids of a whole text."""
+        # A line feed before the text makes its first word a line start like all others.
+        parts = f"\n{text}".replace("\n", " \n").split(" ")[1:]
+        try:
+            return b"".join(map(self.__getitem__, parts))[4:]
+        except KeyError:
+            return self._unknown(text, parts)
+
+    def _unknown(self, text: str, parts: list[str]) -> bytes:
+        new = {p for p in parts if p not in self}
+        if any(len(p.split()) != 1 or p.split()[0] != p.removeprefix("\n") for p in new):
+            # somewhere white space is not one space or line feed between words
+            cut = parts_of(text)
+            self._learn({p[1:] for p in cut if is_word(p)} - self.keys())
+            return b"".join([self[p[1:]] if is_word(p) else self._encode(p).tobytes() for p in cut])
+        self._learn(new)
+        return b"".join(map(self.__getitem__, parts))[4:]
+
+    def _learn(self, new: set[str]) -> None:
+        """Encode words joined by line feeds, which have an id of their own."""
+        if not new:
+            return
+        words = list(new)
+        ids = self._encode("\n".join([w[1:] if w[0] == "\n" else " " + w for w in words]))
+        ends = np.append(np.flatnonzero(ids == self.feed[0]), len(ids)) * 4
+        raw, start, feed = ids.tobytes(), 0, self.feed.tobytes()
+        for word, end in zip(words, ends.tolist(), strict=True):
+            self[word] = feed + raw[start:end] if word[0] == "\n" else raw[start:end]
+            start = end + 4
+
+
+@functools.lru_cache(maxsize=1)
+def _memory(spec: str) -> WordIds:
+    """One memory for all tasks of a Python worker."""
+    return WordIds(_tokenizer(spec))
+
+
+def is_word(part: str) -> bool:
+    """Whether ``part`` is one space and visible characters."""
+    return part[:1] == " " and part.split() == [part[1:]]
 
 
 def parts_of(text: str) -> list[str]:
-    """Cut a text into parts that are encoded alike alone and in place."""
-    out: list[str] = []
-    for k, line in enumerate(text.split("\n")):
-        plain = line.split(" ")
-        if plain != line.split():
-            break
-        # all white space of this line is single spaces between visible characters
-        if k:
-            out.append("\n")
-        out.append(plain[0])
-        out.extend([" " + w for w in plain[1:]])
-    else:
-        return out
-    # a space next to white space stays with what stands before it
+    """Cut any text into parts that are encoded alike alone and in place."""
     out, held = [], None
     for i, w in enumerate(text.split(" ")):
         piece = w if i == 0 else " " + w
         if held is None:
             held = piece
-        elif w and not held[-1:].isspace() and held and not w[0].isspace():
+        elif w and held and not held[-1].isspace() and not w[0].isspace():
+            # a space next to white space stays with what stands before it
             out.append(held)
             held = piece
         else:
@@ -242,16 +271,13 @@ def pieces_of_docs(docs: DataFrame, tokenizer: str, key: str, text: str, capacit
     end = np.asarray([END], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, part, ranks = WordIds(_tokenizer(spec.value)), TaskContext.get().partitionId(), defaultdict(int)
+        ids, part, ranks = _memory(spec.value), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             columns: list[list] = [[] for _ in range(7)]
             for key_, t in zip(batch["_id"], batch["_text"]):
-                parts = parts_of(t) if t else []
-                try:
-                    raw = b"".join(map(ids.__getitem__, parts)) + end
-                except KeyError:
-                    ids.learn(parts)
-                    raw = b"".join(map(ids.__getitem__, parts)) + end
+                if len(ids) > CACHE_WORDS:
+                    ids.clear()
+                raw = ids.ids(t) + end if t else end
                 n, start, piece = len(raw) // 4, 0, 0
                 size = n % capacity or capacity
                 while start < n:

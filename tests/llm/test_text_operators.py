@@ -86,6 +86,7 @@ def test_rejection_is_calibrated():
     assert (p.max(1)[p.argmax(1) == y] < floor).mean() <= 2 * language_id.MISS
 
 
+REMEMBERED = packing.WordIds(packing._tokenizer(open(PACKER, encoding="utf-8").read()))
 ODD = st.text(st.sampled_from("ab1é' \n\t .!#<|>　😀s"), max_size=60)
 
 
@@ -100,6 +101,15 @@ def test_parts_are_encoded_alike_alone(text):
     assert alone == t.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(ODD, max_size=4))
+def test_remembered_ids_are_those_of_whole_texts(texts):
+    ids = REMEMBERED  # what earlier examples left in it must not matter
+    for text in texts + texts:
+        want = ids.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids.ids(text), "<u4").tolist() == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(ODD, st.integers(1, 9))
 def test_safe_pieces_change_no_id(text, size):
