@@ -128,7 +128,7 @@ def convert(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame
         )
 
     candidates = sized.select(key, F.inline(F.flatten(F.transform("widths", phrases))))
-    hits = balanced_lookup(candidates, back_off, ["phrase"], "n", [key, "place"]).where(
+    hits = balanced_lookup(candidates, back_off, ["phrase"], "n", [key, "place"], may_miss=True).where(
         "any_dst IS NOT NULL"
     )
     resolved = balanced_lookup(hits, context, ["phrase", "following"], "n", [key, "place"])

@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 1e-3  # a key above this share of all weight is hot; at most 1000 are
 SALTS = 4096
+TOP_KEYS, TRACKED = 256, 4_096  # keys of ``left`` that are named, and that the sketch follows
+
+
+def frequent_keys(left: DataFrame, on: list[str]) -> list[int]:
+    """Hashes of the most frequent keys, at most ``TOP_KEYS``, from a sketch of fixed size."""
+    top = left.agg(F.call_function("approx_top_k", F.xxhash64(*on), F.lit(TOP_KEYS), F.lit(TRACKED)).alias("top"))
+    return [item["item"] for item in top.first()["top"] or []]
 
 
 def balanced_lookup(
-    left: DataFrame, table: DataFrame, on: list[str], weight: str, spread: str | list[str]
+    left: DataFrame, table: DataFrame, on: list[str], weight: str, spread: str | list[str],
+    may_miss: bool = False,
 ) -> DataFrame:
     """Left join ``left`` with ``table``, which has one row per ``on`` key.
 
@@ -18,18 +26,23 @@ def balanced_lookup(
     ``HOT_SHARE`` of the weight, at most 1 / HOT_SHARE of them, are broadcast.
     All others join by shuffle, where rows already answered, and rows with a
     NULL key, are scattered by ``spread`` instead of meeting in one task.
+
+    The weight knows nothing of keys that the table does not hold.  With
+    ``may_miss`` one more pass over ``left``, without a shuffle of its rows,
+    finds its most frequent keys; the broadcast answers these too, found or not.
     """
     spread = [spread] if isinstance(spread, str) else spread
     values = [c for c in table.columns if c not in on and c != weight]
     packed = F.struct(*values)
     total = table.agg(F.sum(weight)).scalar()
-    is_hot = F.coalesce(F.col(weight) > HOT_SHARE * total, F.lit(False))
+    frequent = F.xxhash64(*on).isin(frequent_keys(left, on)) if may_miss else F.lit(False)
+    is_hot = F.coalesce(F.col(weight) > HOT_SHARE * total, F.lit(False)) | frequent
     hot = table.where(is_hot).select(*on, packed.alias("_hot"))
     # The table's salt is always 0, but written so that it is not folded into a
     # literal: the optimiser would then drop it from the join key.
     zero = F.pmod(F.hash(*on), F.lit(1))
     cold = table.where(~is_hot).select(*on, zero.alias("_salt"), packed.alias("_cold"))
-    missing = F.lit(False)
+    missing = frequent
     for c in on:
         missing = missing | F.col(c).isNull()
     salt = F.when(

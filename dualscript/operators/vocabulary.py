@@ -52,7 +52,7 @@ def encode_texts(df: DataFrame, key: str, texts: dict[str, str], vocab: DataFram
         key, "side", F.posexplode_outer("words").alias("place", "token")
     )
     table = vocab.select("token", F.col("id").cast("int").alias("id"), "n")
-    found = balanced_lookup(placed, table, ["token"], "n", [key, "side", "place"])
+    found = balanced_lookup(placed, table, ["token"], "n", [key, "side", "place"], may_miss=True)
     item = F.struct("place", F.coalesce("id", F.lit(UNK)).alias("id"))
 
     def ids_of(side: str) -> Column:

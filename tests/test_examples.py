@@ -76,6 +76,23 @@ def test_lookup_scatters_answered_rows(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_lookup_scatters_frequent_misses(spark):
+    left = spark.range(20000).select(
+        "id", F.when(F.col("id") % 2 == 0, "absent").otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("w"))
+    table = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("w"), F.col("id").alias("v"), F.lit(1).alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = balanced_lookup(left, table, ["w"], "n", "id", may_miss=True)
+        right = F.when(F.col("w") == "absent", F.col("v").isNull()).otherwise(F.col("v") == F.col("id") % 5000)
+        assert out.count() == 20000 and out.where(~F.coalesce(right, F.lit(False))).isEmpty()
+        sizes = out.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.avg("count")).first()
+        assert sizes[0] < 2 * sizes[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_length_buckets(spark):
     df = spark.range(100).select("id", F.repeat(F.lit("w "), (F.col("id") + 1).cast("int")).alias("t"))
     b = E.length_buckets(df, "t", 4)
