@@ -25,6 +25,7 @@ CLOSED_BY = {  # an open element that the start of another one ends
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "option": {"option"},
 }
+IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 # --- end of fixed values ---
 
 SAMPLE_PAGES = 240  # pages of the input that teach, about; the bound of what reaches the driver
@@ -52,7 +53,8 @@ def blocks_of(page: str) -> list[Block]:
 
     Character references are decoded, white space becomes one space, empty
     blocks go.  Scripts, styles, comments and other silent elements give none.
-    Start and end tags may be missing or misplaced.
+    Start and end tags may be missing or misplaced: a head ends where its own
+    text or an element starts that cannot stand in it.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -76,10 +78,18 @@ def blocks_of(page: str) -> list[Block]:
             silent -= tag in SILENT
             inside_link -= tag == "a"
 
+    def leave_head() -> None:
+        for i, (open_, _) in enumerate(stack):
+            if open_ == "head":
+                close(i)
+                break
+
     at = 0
     while at < len(page):
         m = _TOKEN.search(page, at)
         end = m.start() if m else len(page)
+        if silent and stack[-1][0] == "head" and not page[at:end].isspace() and end > at:
+            leave_head()
         if end > at and not silent:
             piece = page[at:end]
             held.append(piece)
@@ -101,6 +111,8 @@ def blocks_of(page: str) -> list[Block]:
                 if tag in INLINE and stack[i][0] not in INLINE:
                     break  # an inline end does not close blocks
             continue
+        if silent and tag not in IN_HEAD:
+            leave_head()
         if tag == "br":
             held.append(" ")
         if tag not in INLINE:

@@ -174,6 +174,16 @@ def test_leaf_blocks():
     assert html_crf.blocks_of("") == [] and [b.text for b in html_crf.blocks_of("<p>a<")] == ["a<"]
 
 
+@pytest.mark.parametrize("start", ["<body>", "", "<body class=x><main>", "<span>x</span>", "x"])
+def test_a_head_may_lack_its_end(start):
+    head = "<!DOCTYPE html><html><head>\n<meta charset=utf-8><title>t</title><style>p{}</style>\n<link rel=x><script>1<2</script>\n"
+    page = head + start + "<article><p>one<p>two</article></html>"
+    want = ["x"] * ("x" in start[-8:] and "class" not in start) + ["one", "two"]
+    assert [b.text for b in html_crf.blocks_of(page)] == want
+    assert [b.text for b in html_crf.blocks_of(page.replace(start + "<article", "</head>" + start + "<article"))] == want
+    assert "head" not in {t for b in html_crf.blocks_of(page) for t, _ in b.path}
+
+
 @pytest.fixture(scope="module")
 def field():
     return html_crf.train(html_crf.own_pages())
