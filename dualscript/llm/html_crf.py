@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 
 # --- fixed values: kinds of elements ---
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style noscript template iframe svg math canvas object audio video head title "
-             "select option button textarea".split())
-RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template")
+SILENT = set("script style template head title option textarea".split())
+CONTROLS = {"button", "select"}  # their text goes once their own end tag comes
+CLOSABLE = SILENT | CONTROLS | set("noscript iframe svg math canvas object audio video".split())  # by <x/>
+RAW = ("script", "style", "textarea", "title", "template")
+MATH = set("mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder "
+           "mover munderover mmultiscripts mprescripts mtable mtr mtd menclose maction semantics annotation annotation-xml".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp "
-             "small span strike strong sub sup time tt u var wbr br".split())
+             "small span strike strong sub sup time tt u var wbr br math".split()) | MATH
 CLOSED_BY = {  # an open element that the start of another one ends
     "p": set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr "
              "main nav ol p pre section table ul".split()),
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
-    "th": {"td", "th", "tr"}, "option": {"option"},
+    "th": {"td", "th", "tr"}, "option": {"option", "optgroup"},
 }
+CLOSED_BY["option"] |= CLOSED_BY["p"]
 IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 # --- end of fixed values ---
 
@@ -52,14 +56,17 @@ def blocks_of(page: str) -> list[Block]:
     """The leaf blocks of a page in order: runs of text between starts and ends of block elements.
 
     Character references are decoded, white space becomes one space, empty
-    blocks go.  Scripts, styles, comments and other silent elements give none.
-    Start and end tags may be missing or misplaced: a head ends where its own
-    text or an element starts that cannot stand in it.
+    blocks go.  Scripts, styles, templates, comments, the head and form controls
+    give none; formulas, drawings and fallback text do.  Start and end tags may
+    be missing or misplaced: a head ends where its own text or an element starts
+    that cannot stand in it, and a button or list without an end silences nothing.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
-    links = silent = inside_link = 0
+    controls: list[tuple[int, int]] = []  # open ones: place in the stack, blocks before
+    endless: set[str] = set()  # raw elements without an end in what is left
+    links = silent = inside_link = math_end = 0
 
     def flush() -> None:
         nonlocal links
@@ -73,6 +80,8 @@ def blocks_of(page: str) -> list[Block]:
 
     def close(upto: int) -> None:
         nonlocal silent, inside_link
+        while controls and controls[-1][0] >= upto:
+            controls.pop()
         while len(stack) > upto:
             tag, _ = stack.pop()
             silent -= tag in SILENT
@@ -88,7 +97,7 @@ def blocks_of(page: str) -> list[Block]:
     while at < len(page):
         m = _TOKEN.search(page, at)
         end = m.start() if m else len(page)
-        if silent and stack[-1][0] == "head" and not page[at:end].isspace() and end > at:
+        if silent and stack[-1][0] in ("head", "noscript") and not page[at:end].isspace() and end > at:
             leave_head()
         if end > at and not silent:
             piece = page[at:end]
@@ -104,8 +113,12 @@ def blocks_of(page: str) -> list[Block]:
         if m[1]:
             if tag not in INLINE:
                 flush()
+            elif tag in MATH:
+                math_end = at
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
+                    if tag in CONTROLS:
+                        del out[next(n for at_, n in controls if at_ == i):]
                     close(i)
                     break
                 if tag in INLINE and stack[i][0] not in INLINE:
@@ -113,19 +126,29 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if silent and tag not in IN_HEAD:
             leave_head()
-        if tag == "br":
+        if tag == "br" or (tag in MATH and math_end == m.start()):
             held.append(" ")
         if tag not in INLINE:
             flush()
+            if tag in CONTROLS:  # none stands inside another of its kind
+                close(next((i for i, e in enumerate(stack) if e[0] == tag), len(stack)))
             while stack and tag in CLOSED_BY.get(_block_top(stack), ()):
                 top = _block_top(stack)
                 close(max(i for i, e in enumerate(stack) if e[0] == top))
-        if tag in VOID or (m[3].endswith("/") and tag in SILENT):
+        if tag in VOID or (m[3].endswith("/") and (
+                tag in CLOSABLE or tag in MATH or any(t == "svg" for t, _ in stack))):
             continue
         if tag in _RAW_END:
-            done = _RAW_END[tag].search(page, at)
-            at = done.end() if done else len(page)
+            done = None if tag in endless else _RAW_END[tag].search(page, at)
+            if done:
+                at = done.end()
+            elif tag in ("title", "textarea"):
+                endless.add(tag)  # what follows is not known to be its own
+            else:
+                break
             continue
+        if tag in CONTROLS:
+            controls.append((len(stack), len(out)))
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[3])) if m[3] else ""
         stack.append((tag, tuple(_WORD.findall(names.lower())) if names else ()))
         silent += tag in SILENT
@@ -284,6 +307,10 @@ _PARTS = [
     ("<main id='{k}'>{h}{t}</main>", 1, ("main", "content", "page")),
     ("<div class='{k}'>{h}{t}</div>", 1, ("content", "article-body", "entry-content", "post-body", "story", "text", "main")),
     ("<article><h1>{w}</h1>{t}<blockquote>{b}</blockquote><ul><li>{w}</li><li>{w}</li></ul>{t}<pre>{w}</pre></article>", 1, ("x",)),
+    ("<noscript><div class='{k}'>{b}</div></noscript>", 0, ("noscript", "notice", "warning", "no-js")),
+    ("<div class='{k}'><object>{b}</object><iframe>{b}</iframe><svg><text>{w}</text></svg></div>", 0, ("player", "widget", "embed", "ad")),
+    ("<article class='{k}'>{h}{t}<noscript>{t}</noscript><object>{t}</object><iframe>{b}</iframe><svg><text>{w}</text></svg>"
+     "<canvas>{b}</canvas>{t}</article>", 1, ("post", "article", "story", "entry")),
 ]
 #: Parts that stand inside the main text of such a page and are none.
 _NESTED = [i for i, (_, main, _) in enumerate(_PARTS) if not main]

@@ -184,6 +184,33 @@ def test_a_head_may_lack_its_end(start):
     assert "head" not in {t for b in html_crf.blocks_of(page) for t, _ in b.path}
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>Thus <math><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow></math> holds.", ["Thus x = 1 2 holds."]),
+    ("<math><mi>a</mi><mspace/><mo>+</mo></math>", ["a +"]),
+    *[(f"<div>a<{t}><p>b</p>c</{t}>d</div>", ["a", "b", "c", "d"])
+      for t in ("noscript", "object", "iframe", "canvas", "audio", "video")],
+    ("<div>a<svg><title>t</title><style>s</style><path d=''/><text>b</text></svg>c</div>", ["a", "b", "c"]),
+    ("<div>a<button>b</button>c<select><option>d<option>e</select>f<textarea>g</textarea>h<template>i</template></div>",
+     ["a", "c", "f", "h"]),
+    ("<div>a<button><div>b</div></button>c</div>", ["a", "c"]),
+    ("<div>a<button>b<p>c</p>d</div>e<button>f</button>g", ["a", "b", "c", "d", "e", "g"]),
+    ("<div>a<button>b<p>c</p><button>d</button>e</div>", ["a", "b", "c", "e"]),
+    ("<div>a<object>b<p>c</div>d", ["a", "b", "c", "d"]),
+    ("<div>a<select><option>b<p>c</div>d", ["a", "c", "d"]),
+    ("<div>a<textarea>b<p>c</div>d", ["a", "b", "c", "d"]),
+    ("<head><noscript><link rel=x></noscript><title>t</title></head>a", ["a"]),
+])
+def test_only_named_parts_are_silent(page, want):
+    assert [b.text for b in html_crf.blocks_of(page)] == want
+
+
+def test_fallback_text_of_an_article_is_main(field):
+    t = "<p>Some long words of the story that go on for a while, as they do.</p>"
+    page = f"<body><noscript><div class=notice>Please turn on scripts</div></noscript><article><h1>T</h1>{t}<noscript>{t}</noscript>{t}</article>"
+    blocks = html_crf.blocks_of(page)
+    assert field.decode(blocks) == [0, 1, 1, 1, 1]
+
+
 @pytest.fixture(scope="module")
 def field():
     return html_crf.train(html_crf.own_pages())
