@@ -224,6 +224,18 @@ def test_field_on_pages_not_learned(field):
     assert right > 0.97 * total
 
 
+def test_field_is_trained_in_full(field, monkeypatch):
+    def loss(model):
+        out = 0.0
+        for blocks, states in html_crf.own_pages():
+            p, _ = html_crf.marginals(model.emissions(blocks), model.steps)
+            out -= np.log(p[np.arange(len(states)), states] + 1e-300).sum()
+        return out
+    monkeypatch.setattr(html_crf, "EPOCHS", 10)
+    short = loss(html_crf.train(html_crf.own_pages()))
+    assert loss(field) < 0.9 * short
+
+
 def test_extract(spark, field):
     page = ("<body><nav><ul><li><a href=/a>Home</a></li></ul></nav><div class=ad>Buy now.</div><article><h1>Title</h1>"
             "<p>First &amp; long paragraph of the article, with words.</p><p>Second one, it goes on.</p></article>"
