@@ -21,6 +21,7 @@ EPOCHS = 30
 CHUNK = 1 << 20  # code points held as arrays at once
 UNDECIDED = "und"
 MISS = 0.001  # share of rightly named documents that the rejection may cost
+UNTESTED = 0.5  # the highest threshold where no document is held out to calibrate it
 
 
 @functools.cache
@@ -118,15 +119,19 @@ def fit(x: np.ndarray, y: np.ndarray, n_langs: int, seed: int = 0) -> tuple[np.n
 
 
 def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """The temperature of least log loss, and a threshold that costs few right answers."""
+    """The temperature of least log loss, and a threshold that costs few right answers.
+
+    At most the share ``MISS`` of the right answers is below the threshold; with
+    none to tell, the threshold is hardly better than a guess, and below 1.
+    """
     def loss(t: float) -> float:
         return -np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean()
 
     temperature = min(np.geomspace(0.05, 20, 60), key=loss) if len(y) else 1.0
     p = softmax(z / temperature)
     right = p.max(1)[p.argmax(1) == y] if len(y) else np.zeros(0)
-    floor = 1.5 / z.shape[1]  # hardly better than a guess
-    return float(temperature), float(min(floor, np.quantile(right, MISS))) if len(right) else floor
+    threshold = np.quantile(right, MISS, method="lower") if len(right) else min(UNTESTED, 1.5 / z.shape[1])
+    return float(temperature), float(threshold)
 
 
 def slot(key: Column) -> Column:

@@ -86,6 +86,26 @@ def test_rejection_is_calibrated():
     assert (p.max(1)[p.argmax(1) == y] < floor).mean() <= 2 * language_id.MISS
 
 
+def test_rejection_follows_the_right_answers():
+    y = np.arange(4000) % 4
+    z = 12.0 * np.eye(4)[y]
+    z[::40] = 6.0 * np.eye(4)[(y[::40] + 1) % 4]  # wrong, and less certain than all that is right
+    t, threshold = language_id.calibrate(z, y)
+    p = language_id.softmax(z / t)
+    right = p.argmax(1) == y
+    assert threshold > 0.375 and (p.max(1)[~right] < threshold).all()
+    assert (p.max(1)[right] < threshold).mean() <= language_id.MISS
+
+
+@pytest.mark.parametrize("langs", [["en"], ["en", "es"]])
+def test_nothing_held_out_rejects_no_lettered_text(spark, langs):
+    rows = [(i, "the cat is on that mat" if lang == "en" else "el gato come en la casa", lang) for i in range(3) for lang in langs]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs)
+    assert model.threshold < 1
+    assert language_id.keep_known(docs, model).count() == len(rows)
+
+
 REMEMBERED = packing.WordIds(packing._tokenizer(open(PACKER, encoding="utf-8").read()))
 ODD = st.text(st.sampled_from("ab1é' \n\t .!#<|>　😀s"), max_size=60)
 
