@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,9 +29,7 @@ ROUNDS, SWEEPS = 6, 30  # of pattern enumeration, and of the least squares after
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(spec: str) -> Tokenizer:
-    made = Tokenizer.from_str(spec)
-    made.encode_special_tokens = True  # their strings in a text are ordinary text
-    return made
+    return Tokenizer.from_str(spec)
 
 
 class WordIds(dict):
@@ -40,11 +39,18 @@ class WordIds(dict):
     visible characters, whatever stands around it, so what lies between two such
     cuts can be encoded on its own.  A key without white space stands for that
     word after a space, a key that starts with a line feed for that line start.
+
+    A text is first cut at the strings of added tokens, which have an id of
+    their own and part what stands around them.
     """
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
         self.feed = self._encode("\n")
+        added = sorted(tokenizer.get_added_tokens_decoder().values(), key=lambda t: -len(t.content))
+        self.added = re.compile(f"({'|'.join(re.escape(t.content) for t in added)})") if added else None
+        # else the string alone does not say what the token takes
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
 
     def _encode(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -52,6 +58,15 @@ class WordIds(dict):
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text."""
+        if self.added is None or not self.added.search(text):
+            return self._ordinary(text)
+        if not self.plain:
+            return self._encode(text).tobytes()
+        cut = self.added.split(text)
+        return b"".join([self._encode(p).tobytes() if k % 2 else self._ordinary(p) for k, p in enumerate(cut) if p])
+
+    def _ordinary(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
         # A line feed before the text makes its first word a line start like all others.
         parts = f"\n{text}".replace("\n", " \n").split(" ")[1:]
         try:
@@ -297,8 +312,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
                    capacity: int = CAPACITY) -> DataFrame:
     """``key, piece, start, length, ids_crc32, sequence_id, offset``: one row per piece.
 
-    A document's ids are those of its text, special tokens' strings taken as
-    ordinary text, and an end id; null and empty texts have the end id alone.
+    A document's ids are those that the tokenizer gives its text, added tokens
+    included, and an end id; null and empty texts have the end id alone.
     Longer documents are cut into pieces of ``capacity``, the first one shorter.
     Rows with null or repeated keys are documents of their own; an empty table
     gives an empty result.

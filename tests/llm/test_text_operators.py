@@ -130,6 +130,18 @@ def test_remembered_ids_are_those_of_whole_texts(texts):
         assert np.frombuffer(ids.ids(text), "<u4").tolist() == want
 
 
+ADDED = st.lists(st.one_of(ODD, st.sampled_from(["<|endoftext|>", "<|endoftext", "<|", " <|endoftext|> "])), max_size=6)
+
+
+@settings(max_examples=200, deadline=None)
+@given(ADDED)
+def test_added_tokens_keep_their_id(parts):
+    t, text = Tokenizer.from_file(PACKER), "".join(parts)
+    got = np.frombuffer(REMEMBERED.ids(text), "<u4").tolist()
+    assert got == t.encode(text, add_special_tokens=False).ids
+    assert got.count(50256) == text.count("<|endoftext|>")
+
+
 @settings(max_examples=200, deadline=None)
 @given(ODD, st.integers(1, 9))
 def test_safe_pieces_change_no_id(text, size):
