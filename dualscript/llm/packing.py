@@ -236,9 +236,9 @@ def pack_residual(left: dict[int, int], bins: list[Bins], capacity: int = CAPACI
 def plan(histogram: np.ndarray) -> list[Bins]:
     """Sequences that hold every length of the histogram, as groups of equal ones.
 
-    The fitted counts are rounded to the nearest number, down, or, as in a
-    histogram of a few documents no pattern repeats, to none; the rest is
-    packed as residual and the fewest sequences win.
+    The fitted counts are rounded to the nearest number, down, or to none, so
+    that all is packed by best fit without patterns; the rest is packed as
+    residual and the fewest sequences win, at any size.
     """
     capacity = len(histogram) - 1
     fitted = sorted(fit_patterns(histogram).items(), key=lambda kv: (-kv[1], kv[0]))
