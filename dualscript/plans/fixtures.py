@@ -54,6 +54,14 @@ SELECT id AS pair_id,
     ELSE concat('나다라', repeat('가나다라', 19), r, '다') END AS sen_col
 FROM (SELECT id, replace(text, chr(10), ' ') AS b, CAST(id AS STRING) AS k, {_READ.format('id')} AS r
       FROM (SELECT conv_id * 1000 + turn AS id, text FROM {{conversations}}) c) t""",
+    # whole documents; native rules decide every row, so no text is compared
+    "doc_pair_rows": f"""
+SELECT id AS pair_id,
+  CASE id % 4 WHEN 0 THEN concat(k, '번 ', b) WHEN 1 THEN concat(b, ' ', k, '번')
+    WHEN 2 THEN concat(b, repeat('가나다라', 20), k, '나') ELSE '' END AS num_col,
+  CASE id % 4 WHEN 0 THEN concat(r, '번 ', b) WHEN 1 THEN concat(r, ' ', b, '번') WHEN 2 THEN '끝' ELSE b END AS sen_col
+FROM (SELECT doc_id AS id, replace(coalesce(text, ''), chr(10), ' ') AS b, CAST(doc_id AS STRING) AS k, {_READ.format('doc_id')} AS r
+      FROM {{documents}}) t""",
     "pred_ref": """
 SELECT a.conv_id, a.turn, replace(a.text, chr(10), ' ') AS ref,
   replace(CASE WHEN a.turn % 2 = 0 THEN replace(a.text, ' the ', ' ')

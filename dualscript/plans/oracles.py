@@ -140,6 +140,8 @@ CTES |= {
         AND (length(sen_col) > 50 OR regexp_matches(right(num_col, 1), '[가-힣]')) AS bad
         FROM pair_rows p JOIN ratios USING (pair_id)""",
     "kept": "SELECT pair_id, num_col, sen_col FROM verdicts WHERE sound AND NOT bad",
+    "doc_kept": """SELECT pair_id, num_col, sen_col FROM doc_pair_rows
+        WHERE num_col = '' AND sen_col = '' OR num_col <> '' AND sen_col <> '' AND right(num_col, 1) = right(sen_col, 1)""",
     # stage 4
     "vocab_pairs": f"""SELECT token, count(*) AS n FROM (SELECT unnest({words('num_col')}) AS token FROM pairs
         UNION ALL SELECT unnest({words('sen_col')}) FROM pairs) GROUP BY token""",
@@ -334,6 +336,13 @@ _MAPPED = {
         FROM pair_rows JOIN sizes USING (pair_id)) x WHERE verdict IS NOT NULL""",
     "pair_similarity": "SELECT pair_id, round(ratio, 6) AS ratio FROM ratios",
     "pair_filter": "SELECT pair_id, num_col, sen_col FROM kept",
+    "text_sizes_docs": """SELECT pair_id, length(num_col) AS num_chars, octet_length(encode(num_col)) AS num_bytes, length(sen_col) AS n_chars,
+        octet_length(encode(sen_col)) AS n_bytes, hex(encode(sen_col)) AS bytes_hex, right(sen_col, 1) AS last_char,
+        regexp_matches(right(sen_col, 1), '[가-힣]') AS last_hangul FROM doc_pair_rows""",
+    "length_eda_before_docs": _profile("doc_pair_rows", _SIDES, 4),
+    "length_eda_after_docs": _profile("doc_kept", _SIDES, 4),
+    "csv_union_docs": """SELECT pair_id, -1 AS pos, num_col, sen_col FROM doc_pair_rows
+        UNION ALL SELECT -1, pos, num_col, sen_col FROM pairs""",
     "length_eda_before": _profile("pair_rows", _SIDES, 4),
     "length_eda_after": _profile("kept", _SIDES, 4),
     "doc_length_eda": _profile("documents", {"text": "text"}, 3, "lang"),

@@ -346,6 +346,32 @@ def pair_filter_no_autojunk(spark, sf):
 SIDES = {"sen": "sen_col", "num": "num_col"}
 
 
+@query
+def text_sizes_docs(spark, sf):
+    """Sizes of both sides of pairs from whole documents."""
+    num, sen = F.col("num_col"), F.col("sen_col")
+    return fixture(spark, sf, "doc_pair_rows").select(
+        "pair_id",
+        F.length(num).cast("bigint").alias("num_chars"),
+        F.octet_length(num).cast("bigint").alias("num_bytes"),
+        F.length(sen).cast("bigint").alias("n_chars"),
+        F.octet_length(sen).cast("bigint").alias("n_bytes"),
+        F.hex(T.utf8(sen)).alias("bytes_hex"),
+        T.last_char(sen).alias("last_char"),
+        T.is_hangul(T.last_char(sen)).alias("last_hangul"),
+    )
+
+
+@query
+def length_eda_before_docs(spark, sf):
+    return _rounded(curate.length_profile(fixture(spark, sf, "doc_pair_rows"), SIDES), 4)
+
+
+@query
+def length_eda_after_docs(spark, sf):
+    return _rounded(curate.length_profile(curate.filter_pairs(fixture(spark, sf, "doc_pair_rows")), SIDES), 4)
+
+
 @query
 def length_eda_before(spark, sf):
     return _rounded(curate.length_profile(fixture(spark, sf, "pair_rows"), SIDES), 4)
@@ -401,6 +427,13 @@ def csv_union(spark, sf):
     return both.fillna(-1, ["pair_id", "pos"])
 
 
+@query
+def csv_union_docs(spark, sf):
+    """Pairs of whole documents and of lines, stacked by column name."""
+    both = pair_csv.union_all([fixture(spark, sf, "doc_pair_rows"), _pairs(spark, sf)])
+    return both.fillna(-1, ["pair_id", "pos"])
+
+
 @query
 def vocabulary_ids(spark, sf):
     return vocabulary.build_vocab(_pairs(spark, sf), "num_col", "sen_col")
