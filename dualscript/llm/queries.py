@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dualscript.llm import (
-    byte_bpe, embedding_dedup, html_crf, language_id, line_dedup, ngram_join, packing, quality_rules,
-    token_counts, warc,
+    byte_bpe, embedding_dedup, html_crf, language_id, line_dedup, ngram_join, packing, piece_bpe, quality_rules,
+    spelling, token_counts, turn_repair, warc,
 )
 
 PACKER = "byte_bpe_50k.json"
@@ -75,9 +75,51 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_repeat_words", "base_failed", "kept")
 
 
+DAMAGE = 31
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), damage=DAMAGE).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECES)
+    encoded = piece_bpe.piece_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    out = piece_bpe.piece_texts(encoded, model)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` of conversations with faults, dealt by a checksum of each row's place."""
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.pmod(F.crc32(place.cast("binary")), F.lit(20))
+    plain = conversations.select("conv_id", "turn", kind.alias("_kind"),
+                                 *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    text = F.when(F.col("_kind") == 1, "").when(F.col("_kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("_kind") == 4, "user").otherwise(F.col("role"))
+    return plain.where("_kind <> 0").select(
+        "conv_id", "turn", role.alias("role"), text.alias("text"),
+        F.explode(F.when(F.col("_kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy")).drop("_copy")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    out = turn_repair.report(*turn_repair.repair(damaged(conversations)))
+    all_ = conversations.select("conv_id").distinct()
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return all_.join(out, F.col("conv_id").eqNullSafe(F.col("_c")), "left").select(
+        "conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in names],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_language_id, op3_best_fit_packing, op4_byte_bpe, op5_line_dedup, op6_ngram_jaccard_join,
-    op7_warc, op8_embedding_near_dedup, op9_html_extraction, op10_quality_rules)}
+    op7_warc, op8_embedding_near_dedup, op9_html_extraction, op10_quality_rules, op11_spelling_variants,
+    op12_sentencepiece, op13_turn_repair)}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
