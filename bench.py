@@ -18,7 +18,7 @@ from dualscript.session import build_session
 HEADLINE = [
     "stage2_valid", "sentence_pairs", "pair_split", "trn_file_pairs",
     "script_dedup", "script_counts", "train_scripts", "dev_holdout",
-    "pair_filter", "pair_similarity", "length_eda_before", "doc_length_eda",
+    "pair_filter", "length_eda_before", "doc_length_eda",
     "special_filter_docs", "encode_ids", "encode_docs", "length_buckets",
     "corpus_bleu", "rouge_n", "rouge_l_rows", "evaluate_all",
     "reading_lexicon", "lexicon_convert", "stream_ingest",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,7 +52,7 @@ def ratio_at_most(a: bytes, b: bytes, limit: float, autojunk: bool = True) -> bo
 def ratio_udf(autojunk: bool = True):
     """(BINARY, BINARY) -> DOUBLE; NULL in, NULL out."""
 
-    @F.pandas_udf(DoubleType())
+    @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(
             [None if x is None or y is None else byte_ratio(bytes(x), bytes(y), autojunk)
@@ -92,17 +93,67 @@ def lcs_length(left: list[str], right: list[str]) -> int:
     return len(right) - row.bit_count()
 
 
-def _lcs_f1(pred: str, ref: str) -> float:
-    p, r = pred.split(), ref.split()
-    common = lcs_length(r, p) if p and r else 0
-    return 2.0 * common / (len(p) + len(r)) if common else 0.0
+def lcs_places(ref: list[str], pred: list[str]) -> set[int]:
+    """Places in ``ref`` that one longest common subsequence matches.
 
-
-@F.pandas_udf(DoubleType())
-def _rouge_l(pred: pd.Series, ref: pd.Series) -> pd.Series:
-    return pd.Series([_lcs_f1(p or "", r or "") for p, r in zip(pred, ref)], dtype="float64")
-
-
-def rouge_l(pred: Column, ref: Column) -> Column:
-    """Per-row LCS F1 over whitespace tokens."""
-    return _rouge_l(pred, ref)
+    Of several, the one found from the ends: equal tokens match; otherwise the
+    last token of ``pred`` is left out if that keeps a longer subsequence than
+    leaving out the last of ``ref``.  A row of the table is one number: bit j
+    is 0 where it steps up at column j.
+    """
+    where: dict[str, int] = {}
+    for j, item in enumerate(pred):
+        where[item] = where.get(item, 0) | (1 << j)
+    full = (1 << len(pred)) - 1
+    rows = [full]
+    for item in ref:
+        row = rows[-1]
+        hits = row & where.get(item, 0)
+        rows.append(((row + hits) | (row - hits)) & full)
+
+    def length(i: int, j: int) -> int:
+        return j - (rows[i] & ((1 << j) - 1)).bit_count()
+
+    i, j, out = len(ref), len(pred), set()
+    while i and j:
+        if ref[i - 1] == pred[j - 1]:
+            i, j = i - 1, j - 1
+            out.add(i)
+        elif length(i, j - 1) > length(i - 1, j):
+            j -= 1
+        else:
+            i -= 1
+    return out
+
+
+def lcs_f1(pred: list[str], ref: list[str]) -> float:
+    common = lcs_length(ref, pred) if pred and ref else 0
+    return 2.0 * common / (len(pred) + len(ref)) if common else 0.0
+
+
+def summary_f1(pred: list[list[str]], ref: list[list[str]]) -> float:
+    """F1 of lines: per line of ``ref`` the union of places matched by any line of ``pred``, each token clipped."""
+    left = [Counter(t for line in side for t in line) for side in (pred, ref)]
+    total = sum(c.total() for c in left)
+    hits = 0
+    for line in ref:
+        for k in sorted(set().union(*[lcs_places(line, other) for other in pred])):
+            if all(c[line[k]] > 0 for c in left):
+                for c in left:
+                    c[line[k]] -= 1
+                hits += 1
+    return 2.0 * hits / total if hits else 0.0
+
+
+@F.pandas_udf(StructType([StructField("rougeL", DoubleType()), StructField("rougeLsum", DoubleType())]))
+def _rouge_lcs(pred: pd.Series, ref: pd.Series, pred_lines: pd.Series, ref_lines: pd.Series) -> pd.DataFrame:
+    rows = []
+    for p, r, pl, rl in zip(pred, ref, pred_lines, ref_lines):
+        whole = lcs_f1(list(p), list(r))
+        rows.append((whole, whole if pl is None else summary_f1([list(x) for x in pl], [list(x) for x in rl])))
+    return pd.DataFrame(rows, columns=["rougeL", "rougeLsum"], dtype="float64")
+
+
+def rouge_lcs(pred: Column, ref: Column, pred_lines: Column, ref_lines: Column) -> Column:
+    """Struct ``rougeL, rougeLsum`` of token lists, and of lists of lines, NULL for texts of one line."""
+    return _rouge_lcs(pred, ref, pred_lines, ref_lines)

@@ -79,9 +79,9 @@ def has_stray_digit(text: Column) -> Column:
     Text lies outside brackets from the start or a closing bracket up to the
     next opening one, and after an opening bracket that is never closed.
     """
-    # The tail is found first and possessively: a long run of digits is read once.
-    tail = F.regexp_extract(text, r"\([^)]*+\z", 0)
-    return text.rlike(rf"(?:\A|\))[^()]*{DIGIT}") | tail.rlike(DIGIT)
+    # What follows the last closing bracket is outside as a whole.
+    tail = F.substring_index(text, ")", -1)
+    return text.rlike(rf"(?:\A|\))[^()]*{DIGIT}") | (F.contains(tail, F.lit("(")) & tail.rlike(DIGIT))
 
 
 def bracket_list(text: Column) -> Column:

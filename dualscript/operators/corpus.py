@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dualscript.functions import text as T
-from dualscript.sources.tree import DEV, TRAIN, TXT
+from dualscript.functions.domains import smallest_of
+from dualscript.sources.tree import DEV, EVAL, TRAIN, TXT, SPLIT_FOLDERS, list_tree, quarantine, read_tree, write_script_file
 
 # --- fixed values: vendors whose folder layout is accepted ---
 ACCEPTED_VENDORS = ("티맥스소프트", "솔루게이트")
 # --- end of fixed values ---
 
+FEW_DOMAINS = 32  # names up to which each is tested on its own
 BROADCAST_ROWS = 100_000  # largest known row count that is broadcast by hint
 SALTS = 64  # sub-groups per domain when picking held-out folders
 LIST_SIZE = 1_000  # target length of one collected folder list
@@ -39,17 +43,20 @@ def domain_of(path: Column, domains: Sequence[str]) -> Column:
     """The smallest domain name contained in the path, NULL if none is.
 
     The domains come from a configuration mapping, so this is a projection and
-    needs no join.
+    needs no join.  A few names are tested one by one inside the JVM; many are
+    found together by automata (``domains.smallest_of``).
     """
-    names = F.lit(sorted(domains)).cast("array<string>")
-    return F.get(F.filter(names, lambda d: F.contains(path, d)), F.lit(0))
+    names = sorted(domains)
+    if len(names) > FEW_DOMAINS:
+        return smallest_of(path, names)
+    return F.get(F.filter(F.lit(names).cast("array<string>"), lambda d: F.contains(path, d)), F.lit(0))
 
 
-def domain_dirs(files: DataFrame, domains: Sequence[str]) -> DataFrame:
+def domain_dirs(files: DataFrame, domains: Sequence[str], path: str = "dir") -> DataFrame:
     """Distinct ``domain, dir`` of the folders that belong to a domain."""
     return (
-        files.select("dir").distinct()
-        .select(domain_of(F.col("dir"), domains).alias("domain"), "dir")
+        files.select(path).distinct()
+        .select(domain_of(F.col(path), domains).alias("domain"), path)
         .where("domain IS NOT NULL")
     )
 
@@ -71,23 +78,23 @@ def domain_dir_lists(files: DataFrame, domains: Sequence[str], list_size: int =
     )
 
 
-def pick_dev_dirs(files: DataFrame, quota: Mapping[str, int], seed: str = "0") -> DataFrame:
-    """``domain, dir``: up to ``quota[domain]`` folders per domain in seeded hash order.
+def pick_dev_dirs(files: DataFrame, quota: Mapping[str, int], seed: str = "0", path: str = "dir") -> DataFrame:
+    """``domain`` and ``path``: up to ``quota[domain]`` folders per domain in seeded hash order.
 
-    Ranking runs per domain and salt first; only each salt's best candidates
-    meet in the second ranking, so a domain with most of the folders is shared
-    by many tasks.
+    ``files`` may be a listing: only the folder column is read.  Ranking runs
+    per domain and salt first; only each salt's best candidates meet in the
+    second ranking, so a domain with most of the folders is shared by many
+    tasks.  Each ranking stops at the largest quota, which the plan knows.
     """
     wanted = F.create_map(*[F.lit(x) for kv in quota.items() for x in kv])
-    order = [F.md5(F.concat(F.lit(seed + "|"), F.col("dir"))), F.col("dir")]
-    salt = F.pmod(F.xxhash64("dir"), F.lit(SALTS))
-    ranked = domain_dirs(files, list(quota)).withColumns(
-        {"n_dev": F.try_element_at(wanted, F.col("domain")), "salt": salt}
-    )
+    order = [F.md5(F.concat(F.lit(seed + "|"), F.col(path))), F.col(path)]
+    salt = F.pmod(F.xxhash64(path), F.lit(SALTS))
+    most = max(quota.values(), default=0)
+    ranked = domain_dirs(files, list(quota), path).withColumn("salt", salt)
     for group in (["domain", "salt"], ["domain"]):
         place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-        ranked = ranked.withColumn("place", place).where(F.col("place") <= F.col("n_dev"))
-    return ranked.select("domain", "dir")
+        ranked = ranked.withColumn("place", place).where(F.col("place") <= most)
+    return ranked.where(F.col("place") <= F.try_element_at(wanted, F.col("domain"))).select("domain", path)
 
 
 def quota_shortage(dev_dirs: DataFrame, quota: Mapping[str, int]) -> DataFrame:
@@ -136,3 +143,80 @@ def script_counts(files: DataFrame, *within: str) -> DataFrame:
     return files.groupBy(*within).agg(
         F.count("*").alias("n_total"), F.count_distinct(digest).alias("n_unique")
     )
+
+
+# ---------------------------------------------------------------- the whole stage
+
+
+@dataclass(frozen=True)
+class Scenario:
+    """One source tree with its own layout and quotas."""
+
+    name: str
+    root: str
+    vendor: str = ACCEPTED_VENDORS[0]
+    parent_glob: str = "*"
+    child_glob: str = "**/*"
+    quota: Mapping[str, int] = field(default_factory=dict)
+    folders: Mapping[bool, str] = field(default_factory=lambda: dict(SPLIT_FOLDERS))
+
+
+def accepted(spark: SparkSession, scenarios: Sequence[Scenario]) -> tuple[list[Scenario], DataFrame]:
+    """Scenarios whose vendor's layout is known, and ``gate_vendors`` of all of them."""
+    gate = gate_vendors(spark.createDataFrame([(s.name, s.vendor) for s in scenarios], "scenario string, vendor string"))
+    return [s for s in scenarios if s.vendor in ACCEPTED_VENDORS], gate
+
+
+def scenario_holdout(spark: SparkSession, scenario: Scenario, seed: str = "0") -> DataFrame:
+    """``domain, rel``: the training folders held out for dev, decided on the listing alone."""
+    files = list_tree(spark, scenario.root, scenario.folders[True], scenario.parent_glob, scenario.child_glob)
+    return pick_dev_dirs(files, scenario.quota, seed, "rel")
+
+
+def scenario_files(spark: SparkSession, scenario: Scenario, split: str, held: Sequence[str] = ()) -> DataFrame:
+    """The text files of one split; of train all but the ``held`` folders are opened, of dev only these."""
+    chosen = {TRAIN: {"but_dirs": held}, DEV: {"only_dirs": held}, EVAL: {}}[split]
+    return read_tree(spark, scenario.root, scenario.parent_glob, scenario.child_glob, folder=scenario.folders[split != EVAL], **chosen)
+
+
+def first_scripts(files: DataFrame) -> DataFrame:
+    """``text, dir, file_name``: each distinct text with the first folder and file that hold it.
+
+    The digest of the text is the key, so no text is compared in a shuffle; the
+    one text per key is carried by the aggregate.
+    """
+    place = F.struct("dir", "file_name")
+    kept = files.groupBy(F.sha2("text", 256).alias("_digest")).agg(F.min_by("text", place).alias("text"), F.min(place).alias("_at"))
+    return kept.select("text", "_at.*")
+
+
+def make_scripts(
+    spark: SparkSession, scenarios: Sequence[Scenario], out: str, is_train: bool = True, seed: str = "0",
+) -> dict[str, DataFrame]:
+    """Stage 1 from files: train and dev, or eval, each as one ordered script file ``out/<split>.trn``.
+
+    Returns a report per split: ``n_total`` labelled files and ``n_unique``
+    scripts, and under ``rejected`` the files that are not UTF-8 and the
+    scenarios of other vendors.  Held-out folders are known by name on the
+    driver, at most the sum of the quotas, which must not exceed ``BROADCAST_ROWS``.
+    """
+    good, gate = accepted(spark, scenarios)
+    rejected = [gate.where("not accepted").select(F.col("scenario").alias("path"), "reason")]
+    held: dict[str, list[str]] = {}
+    for s in good if is_train else ():
+        if sum(s.quota.values()) > BROADCAST_ROWS:
+            raise ValueError(f"{s.name}: more than {BROADCAST_ROWS} folders to hold out")
+        held[s.name] = [r.rel for r in scenario_holdout(spark, s, seed).select("rel").collect()]
+    report: dict[str, DataFrame] = {}
+    for split in (TRAIN, DEV) if is_train else (EVAL,):
+        # a split without quota, such as dev of no domains, is an empty file
+        files = [scenario_files(spark, s, split, held.get(s.name, ())) for s in good]
+        if not files:
+            continue
+        readable, broken = quarantine(reduce(DataFrame.unionByName, files))
+        labelled = label_files(readable)
+        write_script_file(first_scripts(labelled), f"{out}/{split}.trn", "dir", "file_name")
+        report[split] = script_counts(labelled)
+        rejected.append(broken)
+    report["rejected"] = reduce(DataFrame.unionByName, rejected)
+    return report

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dualscript.functions import text as T
 from dualscript.functions.similarity import ratio_at_most_udf, ratio_udf
+from dualscript.sources.pair_csv import read_pairs, write_pairs
+from dualscript.sources.storage import materialise
 
 # --- fixed values: spelled-out length bands and their similarity limits ---
 BANDS = [(10, 0.1), (20, 0.2), (50, 0.4)]  # (longest length, limit)
@@ -77,6 +79,26 @@ def filter_pairs(pairs: DataFrame, autojunk: bool = True) -> DataFrame:
     return judge_pairs(pairs, autojunk).where(F.col("verdict") == KEEP).drop("verdict")
 
 
+def clean_csv(spark: SparkSession, paths: list[str], out: str, header: bool = True, autojunk: bool = True) -> dict[str, DataFrame]:
+    """Stage 3 from files: pair CSVs in, the kept pairs as CSV at ``out``.
+
+    Returns what the stage reports: ``rejects``, lines that are no pair;
+    ``quarantine``, pairs with one empty side; ``sizes`` per verdict; and
+    ``profile``, lengths before and after.  Pairs are judged once and stored.
+    """
+    good, bad = read_pairs(spark, paths, header)
+    judged = materialise(judge_pairs(good, autojunk), "judged")
+    write_pairs(judged.where(F.col("verdict") == KEEP), out)
+    phases = judged.withColumn("phase", F.explode(F.when(F.col("verdict") == KEEP, F.array(F.lit("before"), F.lit("after")))
+                                                  .otherwise(F.array(F.lit("before")))))
+    return {
+        "rejects": bad,
+        "quarantine": judged.where(F.col("verdict") == QUARANTINE).drop("verdict"),
+        "sizes": judged.groupBy("verdict").agg(F.count("*").alias("n")),
+        "profile": length_profile(phases, {"sen": "sen_col", "num": "num_col"}, "phase"),
+    }
+
+
 def length_profile(df: DataFrame, columns: Mapping[str, str], *within: str) -> DataFrame:
     """Length statistics of text columns, one row per ``series`` (and group).
 

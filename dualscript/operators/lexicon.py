@@ -96,12 +96,41 @@ def _leftmost_longest(matches: Column) -> Column:
     )
 
 
+def _starts(back_off: DataFrame) -> DataFrame:
+    """``token, widths, n``: a trie's first level, each first token with the widths of its phrases."""
+    words = T.tokens(F.col("phrase"))
+    return back_off.select(F.get(words, F.lit(0)).alias("token"), F.size(words).alias("width"), "n").groupBy("token").agg(
+        F.sort_array(F.collect_set("width")).alias("widths"), F.sum("n").alias("n"))
+
+
+def _candidates(texts: DataFrame, key: str, starts: DataFrame) -> DataFrame:
+    """``key, place, width, phrase, following``: what may be a phrase, by its first token.
+
+    Each token is probed once.  A text comes back as a row, in which the places
+    that may begin a phrase, and only these, spell out as many tokens as a
+    phrase that begins so has; a wide entry costs nothing elsewhere.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = texts.repartition(parts, key).select(key, F.posexplode("words").alias("place", "token"))
+    probed = balanced_lookup(placed, starts, ["token"], "n", [key, "place"], may_miss=True)
+    item = F.struct("place", "token", "widths")
+    rows = probed.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"), F.count("widths").alias("starts"))
+    rows = rows.where("starts > 0").select(
+        key, F.transform("items", lambda x: x["token"]).alias("words"),
+        F.explode(F.filter("items", lambda x: x["widths"].isNotNull())).alias("item"))
+    rows = rows.select(key, "words", (F.col("item.place") + 1).alias("place"), F.explode("item.widths").alias("width"))
+    fits = rows.where(F.col("place") + F.col("width") - 1 <= F.size("words"))
+    return fits.select(
+        key, "place", "width", F.array_join(F.slice("words", F.col("place"), F.col("width")), " ").alias("phrase"),
+        F.get("words", F.col("place") + F.col("width") - 1).alias("following"))
+
+
 def convert(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``df`` with ``converted``: phrases of the lexicon replaced, leftmost longest first.
 
     The entry for the following token wins over the back-off.  ``key`` must be
-    unique.  Phrases of every width found in the lexicon are looked up by join.
-    The lexicon, read several times, is stored first.
+    unique.  Phrases are found by their first token and checked by join.  The
+    lexicon, read several times, is stored first.
     """
     lexicon = materialise(lexicon, "lexicon")
     back_off = lexicon.where("next_token IS NULL").select(
@@ -111,23 +140,9 @@ def convert(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame
         F.col("src").alias("phrase"), F.col("next_token").alias("following"),
         F.col("dst").alias("context_dst"), "n",
     )
-    widths = back_off.agg(F.collect_set(F.size(T.tokens(F.col("phrase"))))).scalar()
     words = T.tokens(F.col(text))
-    sized = df.select(key, words.alias("words")).withColumn("widths", widths)
-
-    def phrases(width: Column) -> Column:
-        last = F.size("words") - width + 1
-        places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            places,
-            lambda i: F.struct(
-                i.alias("place"), width.alias("width"),
-                F.array_join(F.slice("words", i, width), " ").alias("phrase"),
-                F.get("words", i + width - 1).alias("following"),
-            ),
-        )
-
-    candidates = sized.select(key, F.inline(F.flatten(F.transform("widths", phrases))))
+    starts = materialise(_starts(back_off), "phrase-starts")
+    candidates = _candidates(df.select(key, words.alias("words")), key, starts)
     hits = balanced_lookup(candidates, back_off, ["phrase"], "n", [key, "place"], may_miss=True).where(
         "any_dst IS NOT NULL"
     )

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 1e-3  # a key above this share of all weight is hot; at most 1000 are
 SALTS = 4096
-TOP_KEYS, TRACKED = 256, 4_096  # keys of ``left`` that are named, and that the sketch follows
+TOP_KEYS, TRACKED = 1_000, 10_000  # keys of ``left`` that are named, all above the share, and that the sketch follows
+
+
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether the planner's size of ``table``, stored before, is within the session's broadcast threshold."""
+    spark = table.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
 
 
 def frequent_keys(left: DataFrame, on: list[str]) -> list[int]:
@@ -22,6 +30,9 @@ def balanced_lookup(
 ) -> DataFrame:
     """Left join ``left`` with ``table``, which has one row per ``on`` key.
 
+    A table within the broadcast threshold is broadcast whole, and no row of
+    ``left`` moves.  The rest is about larger ones.
+
     ``weight`` says how often a key is expected.  Keys that hold more than
     ``HOT_SHARE`` of the weight, at most 1 / HOT_SHARE of them, are broadcast.
     All others join by shuffle, where rows already answered, and rows with a
@@ -33,6 +44,8 @@ def balanced_lookup(
     """
     spread = [spread] if isinstance(spread, str) else spread
     values = [c for c in table.columns if c not in on and c != weight]
+    if fits_broadcast(table):
+        return left.join(F.broadcast(table.select(*on, *values)), on, "left").select(*left.columns, *values)
     packed = F.struct(*values)
     total = table.agg(F.sum(weight)).scalar()
     frequent = F.xxhash64(*on).isin(frequent_keys(left, on)) if may_miss else F.lit(False)

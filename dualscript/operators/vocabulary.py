@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dualscript.functions import arrays as A
 from dualscript.functions import text as T
-from dualscript.operators.lookup import balanced_lookup
+from dualscript.operators.lookup import balanced_lookup, fits_broadcast
 from dualscript.operators.ranking import number_rows
 from dualscript.sources.storage import materialise
 
@@ -38,29 +38,36 @@ def build_vocab(df: DataFrame, *columns: str) -> DataFrame:
     return materialise(reserved.unionByName(counted.select("id", "token", "n")), "vocabulary")
 
 
-def encode_texts(df: DataFrame, key: str, texts: dict[str, str], vocab: DataFrame) -> DataFrame:
+def encode_texts(df: DataFrame, key: str, texts: dict[str, str], vocab: DataFrame, closed: bool = False) -> DataFrame:
     """``key`` and, per entry ``name: text column``, the token ids of that text.
 
     ``key`` must be unique.  All texts share one lookup and one regrouping.
-    Unknown tokens become ``<unk>``.
+    Unknown tokens become ``<unk>``, and so do reserved tokens that a text
+    spells out; with ``closed`` the caller knows that the
+    vocabulary holds all tokens, and no pass looks for frequent unknown ones.
+    A vocabulary within the broadcast threshold is looked up where the tokens
+    are: then only the texts move, once, and no token does.
     """
+    table = vocab.where(F.col("id") >= len(SPECIALS)).select("token", F.col("id").cast("int").alias("id"), "n")
+    df = df.select(key, *dict.fromkeys(texts.values()))
+    if fits_broadcast(table):
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
     sides = F.array(*[
-        F.struct(F.lit(name).alias("side"), T.tokens(F.col(text)).alias("words"))
-        for name, text in texts.items()
+        F.struct(F.lit(k).alias("side"), T.tokens(F.col(text)).alias("words"))
+        for k, text in enumerate(texts.values())
     ])
     placed = df.select(key, F.inline(sides)).select(
         key, "side", F.posexplode_outer("words").alias("place", "token")
     )
-    table = vocab.select("token", F.col("id").cast("int").alias("id"), "n")
-    found = balanced_lookup(placed, table, ["token"], "n", [key, "side", "place"], may_miss=True)
+    found = balanced_lookup(placed, table, ["token"], "n", [key, "side", "place"], may_miss=not closed)
     item = F.struct("place", F.coalesce("id", F.lit(UNK)).alias("id"))
 
-    def ids_of(side: str) -> Column:
-        mine = (F.col("side") == side) & F.col("place").isNotNull()
+    def ids_of(k: int, side: str) -> Column:
+        mine = (F.col("side") == k) & F.col("place").isNotNull()
         placed_ids = F.sort_array(F.collect_list(F.when(mine, item)))
         return F.transform(placed_ids, lambda x: x["id"]).alias(side)
 
-    return found.groupBy(key).agg(*[ids_of(side) for side in texts])
+    return found.groupBy(key).agg(*[ids_of(k, side) for k, side in enumerate(texts)])
 
 
 def end_ids(ids: Column, add_eos: bool = True, max_length: int | None = None) -> Column:
@@ -72,15 +79,17 @@ def end_ids(ids: Column, add_eos: bool = True, max_length: int | None = None) ->
 
 def encode(
     df: DataFrame, key: str, text: str, vocab: DataFrame, add_eos: bool = False,
-    max_length: int | None = None,
+    max_length: int | None = None, closed: bool = False,
 ) -> DataFrame:
     """``key, ids``: token ids of one text in order."""
-    out = encode_texts(df, key, {"ids": text}, vocab)
+    out = encode_texts(df, key, {"ids": text}, vocab, closed)
     return out.withColumn("ids", end_ids(F.col("ids"), add_eos, max_length))
 
 
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:
     """``key, text``: tokens of an id array joined by spaces, reserved ids skipped."""
+    if fits_broadcast(vocab):
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
     placed = df.select(key, F.posexplode_outer(ids).alias("place", "id")).withColumn(
         "id", F.when(F.col("id") >= len(SPECIALS), F.col("id").cast("bigint"))
     )

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 
-from dualscript.functions.tokenize13a import RULES, UNESCAPE
 from dualscript.plans.fixtures import FIXTURES, QUOTA, fixture_sql
 
 SEED = "7"
@@ -54,14 +53,24 @@ def words(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '{WS}+'), lambda w: w <> '')"
 
 
+# --- fixed values: the entities and the symbols that the 13a tokens set apart ---
+ENTITIES = {"quot": '"', "amp": "&", "lt": "<", "gt": ">"}
+APART = "!\"#$%&()*+/:;<=>?@[\\]^_`{|}~"  # wherever they stand
+# --- end of fixed values ---
+
+
 def words_13a(x: str) -> str:
+    """Symbols one by one, then points and commas that no digit precedes or follows, then hyphens after a digit."""
     out = f"replace(replace(replace({x}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
-    for entity, char in UNESCAPE:
-        out = f"replace({out}, '{entity}', '{char}')"
+    for name, char in ENTITIES.items():
+        out = f"replace({out}, '&{name};', '{char}')"
     out = f"' ' || {out} || ' '"
-    for pattern, new in RULES:
-        new = new.replace("$", "\\")
-        out = f"regexp_replace({out}, '{pattern}', '{new}', 'g')"
+    for char in APART:
+        out = f"replace({out}, '{char}', ' {char} ')"
+    for before, marks, after in (("[^0-9]", "[.,]", ""), ("", "[.,]", "[^0-9]"), ("[0-9]", "-", "")):
+        spaced = r"\1 \2 " if before else r" \1 \2"
+        groups = "".join(f"({g})" for g in (before, marks, after) if g)
+        out = f"regexp_replace({out}, '{groups}', '{spaced}', 'g')"
     return words(out)
 
 
@@ -75,9 +84,11 @@ CTES |= {
                 f"WHERE contains(file_name, '.txt') AND regexp_matches(text, '{NOT_WS}')",
     "train_dir": "SELECT * FROM labelled WHERE folder = '1.Training'",
     "located": "SELECT doc_id, dir, min(domain) AS domain FROM train_dir JOIN quota ON contains(dir, domain) GROUP BY ALL",
+    "listed": """SELECT DISTINCT dir, min(domain) OVER (PARTITION BY dir) AS domain FROM raw_files JOIN quota ON contains(dir, domain)
+        WHERE string_split(dir, '/')[3] = '1.Training'""",
     "held": f"""SELECT domain, dir FROM (
         SELECT domain, dir, n_dev, row_number() OVER (PARTITION BY domain ORDER BY md5('{SEED}|' || dir), dir) AS rn
-        FROM (SELECT DISTINCT domain, dir FROM located) JOIN quota USING (domain)) WHERE rn <= n_dev""",
+        FROM listed JOIN quota USING (domain)) WHERE rn <= n_dev""",
     # stage 2
     "s": "SELECT line_id AS pos, file, string_split(raw, '::')[2] AS sentence FROM trn_lines WHERE contains(raw, '::')",
     "b": r"SELECT *, regexp_extract_all(sentence, '\([^)\n]*\)') AS br FROM s",
@@ -146,6 +157,14 @@ CTES |= {
     "vocab_pairs": f"""SELECT token, count(*) AS n FROM (SELECT unnest({words('num_col')}) AS token FROM pairs
         UNION ALL SELECT unnest({words('sen_col')}) FROM pairs) GROUP BY token""",
     "vocab": """SELECT 4 + row_number() OVER (ORDER BY n DESC, token) AS id, token, n FROM vocab_pairs""",
+    "by_length": f"""SELECT doc_id, length, row_number() OVER (ORDER BY length, doc_id) - 1 AS place
+        FROM (SELECT doc_id, len({words('text')}) AS length FROM documents)""",
+    # each batch ends at the last row up to which the rows, padded, stay within the budget
+    "cuts": """SELECT CAST(0 AS BIGINT) AS batch, CAST(-1 AS BIGINT) AS before, (SELECT max(place) FROM by_length WHERE (place + 1) * length <= 20000) AS last
+      UNION ALL
+      SELECT batch + 1, last, coalesce((SELECT max(place) FROM by_length l WHERE place > last AND (place - last) * length <= 20000), last + 1)
+      FROM cuts WHERE last < (SELECT max(place) FROM by_length)""",
+    "batched": "SELECT doc_id, length, batch, place FROM by_length JOIN cuts ON place > before AND place <= last",
     # stage 5
     "ids": "SELECT vec_id, list_transform(embedding, lambda x, i: CASE WHEN (i - 1) % 4 = 3 THEN -100 "
            "ELSE CAST(floor(abs(CAST(x AS DOUBLE)) * 1000) AS INTEGER) END) AS ids FROM embeddings",
@@ -307,7 +326,7 @@ _MAPPED = {
     "domain_paths": "SELECT * FROM located",
     **{name: f"""SELECT domain, CAST(list_no AS BIGINT) AS list_no, string_agg(dir, ' ' ORDER BY dir) AS dirs FROM (
         SELECT domain, dir, ('0x' || substr(md5(dir), 1, 8))::UBIGINT % CAST(ceil(count(*) OVER (PARTITION BY domain) / {size}) AS UBIGINT) AS list_no
-        FROM (SELECT DISTINCT domain, dir FROM located)) GROUP BY domain, list_no"""
+        FROM listed) GROUP BY domain, list_no"""
        for name, size in (("domain_dir_lists", 1000.0), ("domain_dir_lists_small", 4.0))},
     "dev_holdout": "SELECT domain, dir FROM held",
     "quota_shortage": """SELECT domain, CAST(any_value(n_dev) AS BIGINT) AS n_dev, count(dir) AS n_found FROM quota LEFT JOIN held USING (domain)
@@ -334,7 +353,6 @@ _MAPPED = {
         WHEN 2.0 * least(n, m) / (n + m) <= (CASE WHEN length(sen_col) <= 10 THEN 0.1 WHEN length(sen_col) <= 20 THEN 0.2
           WHEN length(sen_col) <= 50 THEN 0.4 ELSE 0.5 END) THEN 'drop' END AS verdict
         FROM pair_rows JOIN sizes USING (pair_id)) x WHERE verdict IS NOT NULL""",
-    "pair_similarity": "SELECT pair_id, round(ratio, 6) AS ratio FROM ratios",
     "pair_filter": "SELECT pair_id, num_col, sen_col FROM kept",
     "text_sizes_docs": """SELECT pair_id, length(num_col) AS num_chars, octet_length(encode(num_col)) AS num_bytes, length(sen_col) AS n_chars,
         octet_length(encode(sen_col)) AS n_bytes, hex(encode(sen_col)) AS bytes_hex, right(sen_col, 1) AS last_char,
@@ -350,7 +368,13 @@ _MAPPED = {
     "examples_ttn": "SELECT pos, sen_col AS input, num_col AS label FROM pairs",
     "examples_prompt": "SELECT pos, 'translation_num_to_txt: ' || num_col AS input, sen_col AS label FROM pairs",
     "examples_causal": """SELECT pos, t AS input, t AS label FROM (SELECT pos, '<s>' || sen_col || '</s><s>' || num_col || '</s>' AS t FROM pairs)""",
-    "mapped_examples": "SELECT pos, num_col || '</s>' AS input, sen_col || '</s>' AS label FROM pairs",
+    "mapped_examples": "SELECT pos, nfc_normalize(num_col) AS input, nfc_normalize(sen_col) AS label FROM pairs",
+    "examples_causal_ids": f"""SELECT pos, t AS input_ids, t AS labels, len(string_split(t, ' ')) AS length FROM (
+        SELECT pos, '0 ' || a.ids || ' 1 0 ' || b.ids || ' 1' AS t FROM ({_ids_of(words('sen_col'))}) a JOIN ({_ids_of(words('num_col'))}) b USING (pos))""",
+    "token_batches": "SELECT doc_id, length, batch, place FROM batched",
+    "token_batch_padding": """SELECT count(*) AS batches, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(tokens) AS BIGINT) AS tokens,
+        CAST(sum(padded) AS BIGINT) AS padded, round(1 - CAST(sum(tokens) AS DOUBLE) / sum(padded), 6) AS padding_share
+        FROM (SELECT batch, count(*) AS n, sum(length) AS tokens, count(*) * max(length) AS padded FROM batched GROUP BY batch)""",
     "csv_union": """SELECT pair_id, -1 AS pos, num_col, sen_col FROM pair_rows
         UNION ALL SELECT -1, pos, num_col, sen_col FROM pairs""",
     "vocabulary_ids": f"SELECT id, token, n FROM vocab UNION ALL {_SPECIALS}",
@@ -397,19 +421,18 @@ _MAPPED = {
 }
 
 ORACLES = {name: _with(sql) for name, sql in _MAPPED.items()}
-# pair_filter_no_autojunk has no SQL: the recursive query takes minutes on whole
-# turns; tests/test_curate.py compares the filter with brute force.
 # Words of predictions and references survive the id round trip, reserved ids do not.
 ORACLES["decoded_bleu"] = _with(
     f"SELECT {_BLEU} FROM bleu",
     scored=f"""SELECT conv_id * 1000 + turn AS row_id, conv_id, turn, array_to_string({words('pred')}, ' ') AS pred,
         array_to_string({words('ref')}, ' ') AS ref FROM pred_ref""",
 )
-# Learned outside the valid split, scored on it.
+# Learned outside the valid split, wherever its pairs stand, scored on it.
 _VALID = "SELECT pos FROM split WHERE split = 'valid'"
+_KNOWN = "SELECT pos FROM valid WHERE num_col IN (SELECT num_col FROM split WHERE split = 'valid')"
 ORACLES["lexicon_eval"] = _with(
     _ALL,
-    duals=f"{CTES['duals']} WHERE pos NOT IN ({_VALID})",
+    duals=f"{CTES['duals']} WHERE pos NOT IN ({_KNOWN})",
     scored=f"""SELECT pos AS row_id, 0 AS conv_id, pos AS turn, converted AS pred, sen_col AS ref
         FROM pairs JOIN fwd_done USING (pos) WHERE pos IN ({_VALID})""",
 )

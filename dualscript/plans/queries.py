@@ -6,6 +6,7 @@ SQL engine can confirm the values.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +63,11 @@ def _files(spark: SparkSession, sf: str, is_train: bool = True) -> DataFrame:
     return corpus.label_files(tree.select_split(fixture(spark, sf, "raw_files"), is_train))
 
 
+def _listing(spark: SparkSession, sf: str, is_train: bool = True) -> DataFrame:
+    """The files of a split as a listing: folders and names, no text."""
+    return tree.select_split(fixture(spark, sf, "raw_files").select("dir", "file_name"), is_train)
+
+
 # --- string functions ---
 
 
@@ -205,38 +211,38 @@ def domain_paths(spark, sf):
 
 @query
 def domain_dir_lists(spark, sf):
-    lists = corpus.domain_dir_lists(_files(spark, sf), list(QUOTA))
+    lists = corpus.domain_dir_lists(_listing(spark, sf), list(QUOTA))
     return lists.select("domain", "list_no", F.array_join("dirs", " ").alias("dirs"))
 
 
 @query
 def domain_dir_lists_small(spark, sf):
     """Lists small enough to split the domains here."""
-    lists = corpus.domain_dir_lists(_files(spark, sf), list(QUOTA), list_size=4)
+    lists = corpus.domain_dir_lists(_listing(spark, sf), list(QUOTA), list_size=4)
     return lists.select("domain", "list_no", F.array_join("dirs", " ").alias("dirs"))
 
 
 @query
 def dev_holdout(spark, sf):
-    return corpus.pick_dev_dirs(_files(spark, sf), QUOTA, SEED)
+    return corpus.pick_dev_dirs(_listing(spark, sf), QUOTA, SEED)
 
 
 @query
 def quota_shortage(spark, sf):
-    return corpus.quota_shortage(corpus.pick_dev_dirs(_files(spark, sf), QUOTA, SEED), QUOTA)
+    return corpus.quota_shortage(corpus.pick_dev_dirs(_listing(spark, sf), QUOTA, SEED), QUOTA)
 
 
 @query
 def train_scripts(spark, sf):
     files = _files(spark, sf)
-    held = corpus.pick_dev_dirs(files, QUOTA, SEED)
+    held = corpus.pick_dev_dirs(_listing(spark, sf), QUOTA, SEED)
     return corpus.unique_scripts(corpus.train_files(files, held, QUOTA))
 
 
 @query
 def dev_scripts(spark, sf):
     files = _files(spark, sf)
-    held = corpus.pick_dev_dirs(files, QUOTA, SEED)
+    held = corpus.pick_dev_dirs(_listing(spark, sf), QUOTA, SEED)
     return corpus.unique_scripts(corpus.dev_files(files, held, QUOTA))
 
 
@@ -244,7 +250,7 @@ def dev_scripts(spark, sf):
 def split_script_counts(spark, sf):
     """Total and distinct scripts of train and dev in one pass."""
     files = _files(spark, sf)
-    held = corpus.pick_dev_dirs(files, QUOTA, SEED)
+    held = corpus.pick_dev_dirs(_listing(spark, sf), QUOTA, SEED)
     return corpus.script_counts(corpus.split_files(files, held, QUOTA), "split")
 
 
@@ -327,22 +333,11 @@ def pair_native_keep(spark, sf):
     return curate.native_verdicts(fixture(spark, sf, "pair_rows")).where("verdict IS NOT NULL")
 
 
-@query
-def pair_similarity(spark, sf):
-    p = curate.similarity(fixture(spark, sf, "pair_rows"))
-    return _rounded(p.select("pair_id", "ratio"))
-
-
 @query
 def pair_filter(spark, sf):
     return curate.filter_pairs(fixture(spark, sf, "pair_rows"))
 
 
-@query
-def pair_filter_no_autojunk(spark, sf):
-    return curate.filter_pairs(fixture(spark, sf, "pair_rows"), autojunk=False)
-
-
 SIDES = {"sen": "sen_col", "num": "num_col"}
 
 
@@ -412,12 +407,13 @@ def examples_causal(spark, sf):
 
 @query
 def mapped_examples(spark, sf):
-    """A user function over batches that drops the source columns."""
+    """A user function over batches that drops the source columns: Unicode's composed form, which Spark lacks."""
 
-    def ended(batch):
-        return batch.assign(input=batch.num_col + "</s>", label=batch.sen_col + "</s>")[["pos", "input", "label"]]
+    def composed(batch):
+        out = {c: [unicodedata.normalize("NFC", x) for x in batch[s]] for c, s in (("input", "num_col"), ("label", "sen_col"))}
+        return batch[["pos"]].assign(**out)
 
-    return examples.map_batches(_pairs(spark, sf), ended, "pos bigint, input string, label string")
+    return examples.map_batches(_pairs(spark, sf), composed, "pos bigint, input string, label string")
 
 
 @query
@@ -479,14 +475,14 @@ def decode_ids(spark, sf):
     """Texts that went through their ids, reserved ids skipped."""
     p = _stored_pairs(spark, sf)
     v = vocabulary.build_vocab(p, "sen_col")
-    return vocabulary.decode(vocabulary.encode(p, "pos", "sen_col", v, add_eos=True), "pos", "ids", v)
+    return vocabulary.decode(vocabulary.encode(p, "pos", "sen_col", v, add_eos=True, closed=True), "pos", "ids", v)
 
 
 @query
 def encode_docs(spark, sf):
     d = _documents(spark, sf)
     v = vocabulary.build_vocab(d, "text")
-    e = vocabulary.encode(d, "doc_id", "text", v)
+    e = vocabulary.encode(d, "doc_id", "text", v, closed=True)
     return e.select("doc_id", F.md5(_ids("ids")).alias("digest"), F.size("ids").cast("bigint").alias("n_ids"))
 
 
@@ -496,14 +492,44 @@ def length_buckets(spark, sf):
     return b.select("doc_id", F.col("length").cast("bigint").alias("length"), F.col("bucket").cast("bigint").alias("bucket"))
 
 
+@query
+def examples_causal_ids(spark, sf):
+    """Both sides as one sequence of ids, reserved ids between them."""
+    p = _stored_pairs(spark, sf)
+    v = vocabulary.build_vocab(p, "num_col", "sen_col")
+    e = examples.encoded_causal(p, "pos", examples.TEXT_TO_NUM, v, closed=True)
+    return e.select("pos", _ids("input_ids").alias("input_ids"), _ids("labels").alias("labels"), F.col("length").cast("bigint").alias("length"))
+
+
+@query
+def token_batches(spark, sf):
+    """Documents in batches of a padded token budget."""
+    b = examples.token_budget_batches(_documents(spark, sf), "text", "doc_id", 20_000)
+    return b.select("doc_id", F.col("length").cast("bigint").alias("length"), "batch", "place")
+
+
+@query
+def token_batch_padding(spark, sf):
+    return _rounded(examples.padding_report(examples.token_budget_batches(_documents(spark, sf), "text", "doc_id", 20_000)))
+
+
 @query
 def materialised_examples(spark, sf):
-    """Examples written once; the second call reads them."""
-    path = f"{storage.shared_dir(spark)}/examples-{storage.fresh_name()}"
-    for _ in range(2):
-        out = storage.materialise_or_reuse(
-            spark, path, lambda: examples.directed_examples(_pairs(spark, sf), examples.NUM_TO_TEXT)
-        )
+    """Examples built from a table, which then grows: the second call builds anew, the third reads."""
+    base = f"{storage.shared_dir(spark)}/examples-{storage.fresh_name()}"
+    source = f"{base}/pairs"
+    p, built = _stored_pairs(spark, sf), []
+
+    def build() -> DataFrame:
+        built.append(1)
+        return examples.directed_examples(spark.read.parquet(source), examples.NUM_TO_TEXT)
+
+    for part in (F.col("pos") % 2 == 0, F.col("pos") % 2 == 1, None):
+        if part is not None:
+            p.where(part).write.mode("append").parquet(source)
+        out = storage.materialise_or_reuse(spark, f"{base}/examples", build, [source], {"direction": examples.NUM_TO_TEXT})
+    if len(built) != 2:
+        raise RuntimeError(f"built {len(built)} times, not twice")
     return out
 
 
@@ -586,7 +612,7 @@ def rouge_n_rows(spark, sf):
 
 @query
 def rouge_l_rows(spark, sf):
-    return _rounded(metrics.rouge_l_rows(_pred_ref(spark, sf), ROW))
+    return _rounded(metrics.rouge_l_rows(_pred_ref(spark, sf), ROW).drop("rougeLsum"))
 
 
 @query
@@ -600,7 +626,7 @@ def decoded_bleu(spark, sf):
     p = _pred_ref(spark, sf).withColumn("row_id", F.col("conv_id") * 1000 + F.col("turn"))
     v = vocabulary.build_vocab(p, "pred", "ref")
     pad = F.array(F.lit(-100), F.lit(-100))
-    both = vocabulary.encode_texts(p, "row_id", {"pred_ids": "pred", "label_ids": "ref"}, v)
+    both = vocabulary.encode_texts(p, "row_id", {"pred_ids": "pred", "label_ids": "ref"}, v, closed=True)
     both = both.withColumns(
         {c: F.concat(vocabulary.end_ids(F.col(c)), pad) for c in ("pred_ids", "label_ids")}
     )
@@ -646,11 +672,15 @@ def lexicon_convert_back(spark, sf):
 def lexicon_eval(spark, sf):
     """Converted numerals of the valid split scored against the spelled-out side.
 
-    The lexicon is learned from lines whose place does not lie in that split.
+    The lexicon is learned from lines whose pair, by its numerals, is not in that split.
     """
     split = pairs.head_split(_pairs(spark, sf))
+    split = storage.materialise(split, "split")
     held = split.where("split = 'valid'")
-    lines = _lines(spark, sf).join(held.select("pos"), "pos", "left_anti")
+    # a line is left out if its pair is held, wherever it stands
+    lines = _lines(spark, sf)
+    known = pairs.valid_pairs(lines).join(held.select("num_col"), "num_col", "left_semi").select("pos")
+    lines = lines.join(known, "pos", "left_anti")
     converted = lexicon.convert(held, "pos", "num_col", lexicon.reading_lexicon(lines))
     out = storage.materialise(converted, "converted")
     scored = out.select("pos", F.col("converted").alias("pred"), F.col("sen_col").alias("ref"))
@@ -665,14 +695,14 @@ def stream_ingest(spark, sf):
     """Pairs appended by a stream over the ``.trn`` files."""
     base = f"{storage.shared_dir(spark)}/stream-{storage.fresh_name()}"
     lines = ingest.stream_trn(spark, _trn_folder(spark, sf), "*_scripts")
-    ingest.append_pairs(ingest.stream_pairs(lines), f"{base}/out", f"{base}/state").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("num_col", "sen_col")
+    ingest.append_pairs(lines, f"{base}/out", f"{base}/state").awaitTermination()
+    return ingest.read_appended(spark, f"{base}/out").select("num_col", "sen_col")
 
 
 @query
 def stream_dedup(spark, sf):
-    """Running keyed dedup, final state; equals ``trn_file_pairs``."""
+    """Running keyed dedup over several triggers, final state; equals ``trn_file_pairs``."""
     base = f"{storage.shared_dir(spark)}/stream-{storage.fresh_name()}"
-    lines = ingest.stream_trn(spark, _trn_folder(spark, sf), "*_scripts")
-    ingest.write_dedup(ingest.stream_pairs(lines), f"{base}/out", f"{base}/state").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("num_col", "sen_col")
+    lines = ingest.stream_trn(spark, _trn_folder(spark, sf), "*_scripts", files_per_trigger=1)
+    ingest.write_dedup(lines, f"{base}/out", f"{base}/state").awaitTermination()
+    return ingest.read_dedup(spark, f"{base}/out").select("num_col", "sen_col")

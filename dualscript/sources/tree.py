@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dualscript.functions import text as T
+from dualscript.sources.storage import fresh_name
 
 # --- fixed values: file extensions, split names and split folders ---
 TXT, WAV, TRN, PCM = ".txt", ".wav", ".trn", ".pcm"
@@ -54,35 +56,75 @@ def data_dir_regex(parent_glob: str, child_glob: str) -> str:
     return rf"^(?:[^/]+/)*{glob_regex(parent_glob)}/{glob_regex(child_glob)}\z"
 
 
+def _plain_path(column: Column) -> Column:
+    """A file's path without scheme and escapes."""
+    path = F.regexp_replace(column, r"^[A-Za-z0-9]+:/+", "/")
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _base(spark: SparkSession, root: str) -> str:
+    """``root`` as it begins the plain paths below it."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(base).toUri().getPath().rstrip("/")
+
+
+def _located(path: Column, base: str) -> dict[str, Column]:
+    directory = T.path_dir(path)
+    return {"path": path, "dir": directory, "rel": F.substr(directory, F.lit(len(base) + 2)), "file_name": T.path_name(path)}
+
+
+def _split_root(root: str, folder: str | None) -> str:
+    return f"{root.rstrip('/')}/{folder}" if folder else root
+
+
+def list_tree(
+    spark: SparkSession, root: str, folder: str | None = None, parent_glob: str = "*", child_glob: str = "**/*",
+) -> DataFrame:
+    """``path, dir, rel, file_name, n_bytes`` of the files below ``root/folder``; no file is opened.
+
+    Spark lists the folders in parallel.  Globs start at ``root/folder``, and
+    ``rel`` is the folder relative to it.  Files of any name are listed, so a
+    folder without a label is a folder too; each path appears once however many
+    globs reach it, and files are never mistaken for folders.
+    """
+    top = _split_root(root, folder)
+    base = _base(spark, top)
+    # without the column of contents this source only asks the file system
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(top)
+    found = raw.select(*[c.alias(n) for n, c in _located(_plain_path(F.col("path")), base).items()], F.col("length").alias("n_bytes"))
+    return found.where(F.col("rel").rlike(data_dir_regex(parent_glob, child_glob)))
+
+
 def read_tree(
-    spark: SparkSession,
-    root: str,
-    parent_glob: str = "*",
-    child_glob: str = "**/*",
-    name_contains: str = TXT,
+    spark: SparkSession, root: str, parent_glob: str = "*", child_glob: str = "**/*", name_contains: str = TXT,
+    folder: str | None = None, only_dirs: Sequence[str] | None = None, but_dirs: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Whole text files of a tree: ``path, dir, file_name, text, valid``.
+    """Whole text files of a tree: ``path, dir, rel, file_name, text, valid``.
 
+    Only what lies below ``root/folder`` is listed, and globs start there.
     ``name_contains`` is a substring test on the file name.  Each path appears
     once however many globs reach its folder.  ``valid`` is false for files
-    that are not UTF-8; ``quarantine`` separates them.
+    that are not UTF-8; ``quarantine`` separates them.  Of ``only_dirs`` or all
+    ``but_dirs``, lists of relative folders, other files are left out before
+    any is opened.
     """
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    prefix = re.sub(r"^[a-z0-9]+:/+", "/", files.makeQualified(base).toString()).rstrip("/")
+    top = _split_root(root, folder)
+    base = _base(spark, top)
     raw = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{name_contains}*")
-        .text(root, wholetext=True)
+        .text(top, wholetext=True)
     )
-    path = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-z0-9]+:/+", "/")
-    located = raw.select(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))).alias("path"), "value")
-    directory = T.path_dir(F.col("path"))
-    below = F.substr(directory, F.lit(len(prefix) + 2))
-    return located.where(below.rlike(data_dir_regex(parent_glob, child_glob))).select(
-        "path",
-        directory.alias("dir"),
-        T.path_name(F.col("path")).alias("file_name"),
+    at = _located(_plain_path(F.col("_metadata.file_path")), base)
+    # tests on the file's own path alone choose files, not rows
+    wanted = raw.where(at["rel"].rlike(data_dir_regex(parent_glob, child_glob)))
+    if only_dirs is not None:
+        wanted = wanted.where(at["rel"].isin(list(only_dirs)) if only_dirs else F.lit(False))
+    if but_dirs:
+        wanted = wanted.where(~at["rel"].isin(list(but_dirs)))
+    return wanted.select(
+        *[c.alias(n) for n, c in at.items()],
         # Text mode reading turns every line ending into a newline.
         F.regexp_replace("value", "\r\n?", "\n").alias("text"),
         F.is_valid_utf8("value").alias("valid"),
@@ -104,3 +146,45 @@ def select_split(files: DataFrame, is_train: bool, folders: dict[bool, str] = SP
 def write_scripts(scripts: DataFrame, path: str) -> None:
     """One script per line, replacing what was there."""
     scripts.select("text").write.mode("overwrite").text(path)
+
+
+def write_script_file(scripts: DataFrame, path: str, *order: str) -> None:
+    """All scripts in one text file, ordered, joined by newlines, without a final one.
+
+    Tasks write sorted range partitions; the parts are then copied one after
+    the other into a file beside the target and renamed onto it, so a reader
+    sees the old file or the new one.  One file has one writer by nature: the
+    copy streams through the driver's JVM and holds nothing.  ``write_scripts``
+    is for outputs that need not be one file.
+    """
+    spark = scripts.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    Path, io = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.IOUtils
+    target = Path(path)
+    files = target.getFileSystem(conf)
+    parts = Path(f"{path}.parts-{fresh_name()}")
+    whole = Path(f"{path}.whole-{fresh_name()}")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scripts.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("text").write.text(parts.toString())
+    try:
+        # part files are named by their partition
+        found = sorted((f.getPath().getName(), f.getLen()) for f in files.listStatus(parts) if f.getPath().getName().startswith("part-"))
+        found = [(name, size) for name, size in found if size]
+        out = files.create(whole, True)
+        try:
+            for k, (name, size) in enumerate(found):
+                source = files.open(Path(parts, name))
+                try:
+                    io.copyLarge(source, out, 0, size - (k == len(found) - 1))
+                finally:
+                    source.close()
+        finally:
+            out.close()
+        mode = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
+        overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        qualified = files.makeQualified
+        mode.rename(qualified(whole), qualified(target), overwrite)
+    finally:
+        files.delete(parts, True)
+        files.delete(whole, False)

@@ -32,7 +32,8 @@ def root(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def files(spark, root):
-    return tree.read_tree(spark, root, "[0-9].*", "**/[0-9]*")
+    both = [tree.read_tree(spark, root, "[0-9].*", "**/[0-9]*", folder=f) for f in tree.SPLIT_FOLDERS.values()]
+    return both[0].unionByName(both[1])
 
 
 def names(df):
@@ -46,19 +47,18 @@ def test_tree_scan(files):
         "1.Training/1.방송/01/a.txt", "1.Training/1.방송/01/b.txt", "1.Training/1.방송/02/a.txt",
         "1.Training/2.취미/03/a.txt", "1.Training/2.취미/03/a.txt.bak", "1.Training/2.취미/04/blank.txt",
         "1.Training/2.취미/05/x y+z.txt", "2.Validation/1.방송/01/v.txt",
-        "1.Training/extra/06/a.txt",  # "1.Training" itself matches the parent glob
     }
     assert good.where("file_name = 'a.txt' AND text = '하나\n둘'").count() == 1
 
 
 def test_split_label_and_dedup(spark, files, tmp_path):
     train = C.label_files(tree.select_split(tree.quarantine(files)[0], True))
-    assert train.count() == 7
+    assert train.count() == 6
     counts = C.script_counts(train).first()
-    assert (counts.n_total, counts.n_unique) == (7, 6)
+    assert (counts.n_total, counts.n_unique) == (6, 5)
     tree.write_scripts(C.unique_scripts(train), str(tmp_path / "train.trn"))
     lines = {r.value for r in spark.read.text(str(tmp_path / "train.trn")).collect()}
-    assert lines == {"하나", "둘", "셋", "넷", "다섯", "여섯", "다른 폴더"}
+    assert lines == {"하나", "둘", "셋", "넷", "다섯", "여섯"}
     assert C.unique_scripts(C.label_files(tree.select_split(files.where("valid"), False))).count() == 1
 
 

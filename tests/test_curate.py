@@ -94,3 +94,19 @@ def test_splits_and_union(frame, spark, tmp_path):
     assert {(r.num_col, r.split) for r in both.collect()} == {("a", "train"), ("b", "train"), ("c", "validation")}
     mixed = pair_csv.union_all([frame([("1", "x")], SCHEMA), frame([("y",)], "sen_col string")])
     assert {tuple(r) for r in mixed.collect()} == {("1", "x"), (None, "y")}
+
+
+def test_clean_csv_from_file_to_file(spark, frame, tmp_path):
+    source, more, out = (str(tmp_path / n) for n in ("in.csv", "more.csv", "out"))
+    with open(source, "w") as f:
+        f.write('num_col,sen_col\n12,일이\n"3,a",나가\n3가,나\nonly\n1,2,3\n\n,x\n')
+    with open(more, "w") as f:
+        f.write('num_col,sen_col\n"a ""q""",a q\n')
+    report = C.clean_csv(spark, [source, more], out)
+    kept = {(r.num_col, r.sen_col) for r in pair_csv.read_pairs(spark, out)[0].collect()}
+    assert kept == {("12", "일이"), ("3,a", "나가"), ('a "q"', "a q")}
+    assert {(r.line, r.reason) for r in report["rejects"].collect()} == {("only", "too few fields"), ("1,2,3", "too many fields")}
+    assert [tuple(r) for r in report["quarantine"].collect()] == [("", "x")]
+    assert {r.verdict: r.n for r in report["sizes"].collect()} == {"keep": 3, "drop": 1, "quarantine": 1}
+    profile = {(r.phase, r.series): (r.n, r.max) for r in report["profile"].collect()}
+    assert profile[("before", "num")] == (5, 5) and profile[("after", "num")] == (3, 5) and profile[("after", "sen")] == (3, 3)

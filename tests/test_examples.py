@@ -1,7 +1,11 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from dualscript.operators import examples as E
+from dualscript.operators import lookup as L
 from dualscript.operators import vocabulary as V
 from dualscript.operators.lookup import balanced_lookup
 from dualscript.sources import storage
@@ -102,16 +106,112 @@ def test_length_buckets(spark):
     assert all(a.hi <= c.lo for a, c in zip(ranges, ranges[1:])) and laid.count() == 100
 
 
+def greedy_batches(lengths, budget):
+    """Rows in order of length, cut where the padded batch would exceed the budget."""
+    out, now = [], []
+    for n in sorted(lengths):
+        if now and (len(now) + 1) * max(n, 1) > budget:
+            out.append(now)
+            now = []
+        now.append(n)
+    return out + [now] if now else out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_batch_plan_is_the_greedy_one(seed):
+    rng = random.Random(seed)
+    lengths = [rng.choice([0, 1, 2, 3, 5, 8, 8, 8, rng.randrange(60)]) for _ in range(rng.randrange(1, 200))]
+    budget = rng.choice([1, 7, 16, 50, 1000])
+    got = {}
+    for length, row, open_, joins, new, per in E._batch_plan(dict(Counter(lengths)), budget):
+        for at in range(lengths.count(length)):
+            got[row + at] = open_ if at < joins else new + (at - joins) // per
+    assert [got[r] for r in sorted(got)] == [k for k, batch in enumerate(greedy_batches(lengths, budget)) for _ in batch]
+
+
+def test_token_budget_batches(spark, frame):
+    rng = random.Random(5)
+    rows = [(k, "w " * rng.choice([0, 3, 3, 3, 3, rng.randrange(40)])) for k in range(700)] + [(900, None), (901, "w " * 500)]
+    df = frame(rows, "id int, t string").withColumn("batch_", F.lit(1)).repartition(5)
+    out = E.token_budget_batches(df, "t", "id", 100)
+    got = out.collect()
+    assert out.columns == ["id", "t", "batch_", "length", "batch", "place"] and len(got) == len(rows)
+    by = {}
+    for r in sorted(got, key=lambda r: r.place):
+        by.setdefault(r.batch, []).append(max(r.length, 0))
+    known = [len((t or "").split()) for _, t in rows]
+    assert list(by) == sorted(by) and [by[k] for k in sorted(by)] == greedy_batches(known, 100)
+    assert all(len(b) * max(b) <= 100 or len(b) == 1 for b in by.values())
+    report = E.padding_report(out).first()
+    padded = sum(len(b) * max(b) for b in by.values())
+    assert (report.batches, report.rows, report.tokens, report.padded) == (len(by), len(rows), sum(known), padded)
+    assert report.padding_share == pytest.approx(1 - sum(known) / padded)
+    assert E.padding_report(E.token_budget_batches(df.limit(0), "t", "id", 100)).first().padding_share == 0
+
+
+def test_causal_ids_keep_reserved_ids_to_themselves(frame):
+    pairs = frame([(1, "a b", "x"), (2, "<s> a </s>", "<mask> z"), (3, "", "x")], "pos int, num_col string, sen_col string")
+    vocab = V.build_vocab(frame([("a b x a",)], "t string"), "t")
+    ids = {r.token: r.id for r in vocab.collect()}
+    got = {r.pos: (r.input_ids, r.labels, r.length) for r in E.encoded_causal(pairs, "pos", E.TEXT_TO_NUM, vocab).collect()}
+    a, b, x = ids["a"], ids["b"], ids["x"]
+    want = {1: [0, x, 1, 0, a, b, 1], 2: [0, 2, 2, 1, 0, 2, a, 2, 1], 3: [0, x, 1, 0, 1]}
+    assert got == {k: (v, v, len(v)) for k, v in want.items()}
+    with pytest.raises(ValueError):
+        E.encoded_causal(pairs, "pos", "both", vocab)
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_frequent_misses_do_not_meet(spark, threshold):
+    """A lookup is right, and balanced, whether the table is broadcast or joined by shuffle."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        table = storage.materialise(spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"), F.lit(1).alias("n")), "t")
+        # 400 absent keys, each above the share, and a few present ones
+        left = storage.materialise(spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 800 + 5000).otherwise(F.col("id") % 2000).alias("k")), "l")
+        out = L.balanced_lookup(left, table, ["k"], "n", ["id"], may_miss=True)
+        assert out.where("k < 2000 and v <> 2 * k or k >= 5000 and v is not null").count() == 0 and out.count() == 40_000
+        if threshold == "-1":
+            spark.conf.set("spark.sql.adaptive.enabled", "false")
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) <= 2 * 40_000 / 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_reuse_of_stored_examples(frame, spark, tmp_path):
-    path, built = str(tmp_path / "ex"), []
+    path, source, built = str(tmp_path / "ex"), str(tmp_path / "in"), []
 
     def build():
         built.append(1)
-        return frame([(1, "a")], "k int, v string")
+        return spark.read.parquet(source)
+
+    def reuse(**parameters):
+        return storage.materialise_or_reuse(spark, path, build, [source], parameters).count()
+
+    frame([(1, "a")], "k int, v string").write.parquet(source)
+    assert [reuse(), reuse()] == [1, 1] and built == [1]
+    frame([(2, "b")], "k int, v string").write.mode("append").parquet(source)
+    assert [reuse(), reuse()] == [2, 2] and built == [1, 1]
+    assert reuse(side="x") == 2 and built == [1, 1, 1]
+    assert len([p for p in (tmp_path / "ex").iterdir() if not p.name.startswith(".")]) == 1
+
+
+def test_an_unfinished_table_is_not_read(frame, spark, tmp_path):
+    path, source = tmp_path / "ex", str(tmp_path / "in")
+    frame([(1,)], "k int").write.parquet(source)
+    mark = storage.fingerprint(spark, [source])
+    (path / f"_{mark}").mkdir(parents=True)  # a writer that died
+
+    def build():
+        # another writer of the same fingerprint finishes first
+        if not (path / mark).exists():
+            frame([(7,)], "k int").write.parquet(str(path / mark))
+        return frame([(8,)], "k int")
 
-    for _ in range(2):
-        assert storage.materialise_or_reuse(spark, path, build).count() == 1
-    assert built == [1]
+    assert [r.k for r in storage.materialise_or_reuse(spark, str(path), build, [source]).collect()] == [7]
 
 
 def test_shared_folder_is_the_configured_one(spark):

@@ -45,3 +45,21 @@ def test_leftmost_longest(frame):
     df = frame([(0, "a b c d e"), (1, "x b c d"), (2, "a b a b d")], "id int, t string")
     got = {r.id: r.converted for r in L.convert(df, "id", "t", lex).collect()}
     assert got == {0: "AB c DE e", 1: "x BCD", 2: "AB AB D"}
+
+
+def test_a_very_wide_phrase(frame, spark):
+    """Only places where it may begin look further than one token."""
+    wide = " ".join(f"w{k}" for k in range(300))
+    lex = frame([(wide, None, "WIDE", 1), ("w0", None, "W0", 2), ("w7 w8", None, "PAIR", 1)],
+                "src string, next_token string, dst string, n bigint")
+    df = frame([(0, f"x {wide} y"), (1, "w0 w1 w7 w8 w0"), (2, " ".join(["z"] * 2000)), (3, wide[:-1]), (4, "")], "id int, t string")
+    got = {r.id: r.converted for r in L.convert(df, "id", "t", lex).collect()}
+    assert got[0] == "x WIDE y" and got[1] == "W0 w1 PAIR W0" and got[2] == " ".join(["z"] * 2000) and got[4] == ""
+    assert got[3].startswith("W0 w1 w2") and "PAIR" in got[3]
+    from dualscript.functions import text as T
+    from pyspark.sql import functions as F
+    from dualscript.sources.storage import materialise
+
+    back_off = lex.select(F.col("src").alias("phrase"), "n")
+    starts = materialise(L._starts(back_off), "starts")
+    assert L._candidates(df.select("id", T.tokens(F.col("t")).alias("words")), "id", starts).count() == (2 + 1) + (1 + 1 + 1) + (2 + 1)

@@ -72,6 +72,71 @@ def test_own_tokenizer(frame):
     assert M.rouge_n(df, ["id"], lambda c: F.split(c, "-")).first().rouge1 == 0.5
 
 
+def table_places(ref, pred):
+    """The matched places by the plain table and the same rule from the ends."""
+    t = [[0] * (len(pred) + 1) for _ in range(len(ref) + 1)]
+    for i, a in enumerate(ref):
+        for j, b in enumerate(pred):
+            t[i + 1][j + 1] = t[i][j] + 1 if a == b else max(t[i][j + 1], t[i + 1][j])
+    i, j, out = len(ref), len(pred), set()
+    while i and j:
+        if ref[i - 1] == pred[j - 1]:
+            i, j = i - 1, j - 1
+            out.add(i)
+        elif t[i][j - 1] > t[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return out
+
+
+def lsum(pred, ref):
+    p, r = ([line.split() for line in x.split("\n") if line] for x in (pred, ref))
+    cp, cr = (Counter(t for line in x for t in line) for x in (p, r))
+    total, hits = sum(cp.values()) + sum(cr.values()), 0
+    for line in r:
+        for k in sorted(set().union(*[table_places(line, other) for other in p])):
+            if cp[line[k]] and cr[line[k]]:
+                cp[line[k]] -= 1
+                cr[line[k]] -= 1
+                hits += 1
+    return 2 * hits / total if hits else 0.0
+
+
+def test_rouge_lsum_goes_by_lines(frame):
+    rng = random.Random(3)
+    text = lambda: "\n".join(" ".join(rng.choice("abcde") for _ in range(rng.randrange(7))) for _ in range(rng.randrange(5)))
+    rows = [(0, "b b\na a", "a a\nb b"), (1, "", "a\nb"), (2, "a\n", None), (3, "a b c", "a c"), (4, "\n\n", "\n")]
+    rows += [(k, text(), text()) for k in range(5, 300)]
+    got = {r.id: r for r in M.rouge_l_rows(frame(rows, "id int, pred string, ref string"), ["id"]).collect()}
+    assert got[0].rougeLsum == 1.0 and got[0].rougeL == 0.5
+    assert got[3].rougeLsum == got[3].rougeL
+    for k, p, r in rows:
+        assert got[k].rougeLsum == pytest.approx(lsum(p or "", r or "")), (p, r)
+
+
+def test_evaluate_takes_tokenizers_and_scans_once(frame, spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    frame([(1, "a-b\na", "a-c\na"), (2, "x", "x")], "id int, pred string, ref string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    by_dash = lambda c: F.split(c, "-")
+    out = M.evaluate(df, ["id"], by_dash, by_dash)
+    got = out.first()
+    # "a", "b\na" against "a", "c\na"; by lines "a b" and "a" against "a c" and "a"
+    assert got.rouge1 == got.rougeL == pytest.approx((0.5 + 1) / 2)
+    assert got.rougeLsum == pytest.approx((2 / 3 + 1) / 2) and got.translation_length == 3 and got.predict_samples == 2
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    # one of the texts and one of the totals
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange SinglePartition") == 1
+
+
+def test_metrics_of_nothing(frame):
+    got = M.evaluate(frame([], "id int, pred string, ref string"), ["id"]).first()
+    assert got.predict_samples == 0 and got.bleu == 0
+
+
 def test_evaluate_and_save(scored, rows, spark, tmp_path):
     out = M.evaluate(scored, ["id"])
     pair_csv.write_metrics(out, str(tmp_path / "m"))

@@ -5,7 +5,7 @@ from difflib import SequenceMatcher
 
 import duckdb
 
-from dualscript.plans.oracles import ORACLES
+from dualscript.plans.oracles import _with
 
 
 def test_recursive_sql_is_difflib():
@@ -20,7 +20,7 @@ def test_recursive_sql_is_difflib():
     con = duckdb.connect()
     con.execute("CREATE TABLE given (pair_id BIGINT, num_col VARCHAR, sen_col VARCHAR)")
     con.executemany("INSERT INTO given VALUES (?, ?, ?)", rows)
-    sql = ORACLES["pair_similarity"]
+    sql = _with("SELECT pair_id, round(ratio, 6) AS ratio FROM ratios")
     start = sql.index("pair_rows AS (")
     depth, end = 0, start
     for end in range(start, len(sql)):
