@@ -59,9 +59,8 @@ def _gram_counts(df: DataFrame, keys: list[str], wanted: list[Grams], **per_row:
     ``per_row`` values; other rows hold NULL there.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = df.select(*keys, *[F.coalesce(c, F.lit("")).alias(c) for c in ("pred", "ref")])
     # before the spread: a Python function behind it would hide how rows lie
-    texts = texts.withColumns({f"row_{n}": v for n, v in per_row.items()}) if per_row else texts
+    texts = df.select(*keys, *[F.coalesce(c, F.lit("")).alias(c) for c in ("pred", "ref")], *[v.alias(f"row_{n}") for n, v in per_row.items()])
     spread = texts.repartition(parts, *keys).select(
         *keys, *[g.tokenizer(F.col(c)).alias(f"{c}_{g.kind}_1") for g in wanted for c in ("pred", "ref")], *[f"row_{n}" for n in per_row])
     entries = [(F.lit(""), F.lit(0), F.lit(True), F.array(F.lit("")))]
@@ -192,13 +191,15 @@ def evaluate(
     One scan and one shuffle of the texts serve both tokenisations, the common
     subsequences and the row count.
     """
-    counts = _gram_counts(df, keys, [Grams("bleu", bleu_tokenizer, MAX_ORDER), Grams("rouge", tokenizer, 2)],
-                          lcs=_lcs_scores(tokenizer))
+    texts = df.select(*keys, *[F.coalesce(c, F.lit("")).alias(c) for c in ("pred", "ref")])
+    texts, lcs = compute_once(texts, _lcs=_lcs_scores(tokenizer)), F.col("_lcs")
+    counts = _gram_counts(texts, keys, [Grams("bleu", bleu_tokenizer, MAX_ORDER), Grams("rouge", tokenizer, 2)],
+                          rougeL=lcs["rougeL"], rougeLsum=lcs["rougeLsum"])
     sums = _bleu_sums()
     names = ["match1", "match2", "match3", "match4", "translation_length", "all2", "all3", "all4", "reference_length"]
-    rows = counts.groupBy(*keys).agg(*sums, _f1(1), _f1(2), F.max("lcs").alias("lcs"),
+    rows = counts.groupBy(*keys).agg(*sums, _f1(1), _f1(2), F.max("rougeL").alias("rougeL"), F.max("rougeLsum").alias("rougeLsum"),
                                      F.sum(F.when(F.col("order") == 0, F.col("p"))).alias("samples"))
     totals = rows.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names], F.avg("rouge1").alias("rouge1"), F.avg("rouge2").alias("rouge2"),
-                      *[F.avg(f"lcs.{c}").alias(c) for c in ("rougeL", "rougeLsum")],
+                      *[F.avg(c).alias(c) for c in ("rougeL", "rougeLsum")],
                       F.coalesce(F.sum("samples"), F.lit(0)).alias("predict_samples"))
     return _bleu_of(totals).select(*[F.col(c).cast("double").alias(c) for c in (*ROUGE, *BLEU, "predict_samples")])
