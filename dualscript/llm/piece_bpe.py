@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-CACHE_WORDS, CACHE_CHARS = 600_000, 64  # words a worker remembers, and their greatest length
-SLICE = 1 << 19  # characters whose words are merged together; the memory bound of a round
+CACHE_WORDS, CACHE_CHARS = 300_000, 64  # words a worker remembers, and their greatest length
+SLICE = 1 << 18  # characters whose words are merged together; the memory bound of a round
 LONG = 256  # words above this are cut at places that no piece spans
 
 # --- fixed values: sentencepiece's mark of white space and its kinds of pieces ---
@@ -241,6 +241,12 @@ def _encoder(raw: bytes) -> Encoder:
     return Encoder(PieceModel(raw))
 
 
+def _model(df: DataFrame, path: str):
+    """The model file, of fixed size, for the workers."""
+    with open(path, "rb") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
+
+
 def piece_ids(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text, as sentencepiece gives them without begin and end.
 
@@ -250,8 +256,7 @@ def piece_ids(docs: DataFrame, model: str, text: str = "text", ids: str = "ids")
     result.  Unbroken words are cut where no piece spans two characters; what
     remains longer than that costs a round per kind of pair, over its symbols.
     """
-    with open(model, "rb") as f:
-        raw = docs.sparkSession.sparkContext.broadcast(f.read())  # the model file, of fixed size
+    raw = _model(docs, model)
 
     @F.pandas_udf("array<int>")
     def encoded(texts: pd.Series) -> pd.Series:
@@ -262,8 +267,7 @@ def piece_ids(docs: DataFrame, model: str, text: str = "text", ids: str = "ids")
 
 def piece_texts(tokens: DataFrame, model: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``tokens`` with the text of each list of ids, as sentencepiece decodes it; a null list gives null."""
-    with open(model, "rb") as f:
-        raw = tokens.sparkSession.sparkContext.broadcast(f.read())
+    raw = _model(tokens, model)
 
     @F.pandas_udf("string")
     def texts(lists: pd.Series) -> pd.Series:
@@ -271,3 +275,18 @@ def piece_texts(tokens: DataFrame, model: str, ids: str = "ids", decoded: str =
         return pd.Series([None if x is None else library.decode(x.tolist()) for x in lists])
 
     return tokens.withColumn(decoded, texts(F.col(f"`{ids}`")))
+
+
+def round_trip(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the columns of ``piece_ids`` and ``piece_texts``, each text encoded once and its ids decoded."""
+    raw = _model(docs, model)
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        encoder = _encoder(raw.value)
+        found = [x.astype(np.int32) for x in encoder.encode(texts.tolist())]
+        return pd.DataFrame({"ids": found, "decoded": [encoder.model.library.decode(x.tolist()) for x in found]})
+
+    # an explode of one struct keeps the optimiser from encoding once per column
+    made = docs.withColumn("_pieces", F.explode(F.array(both(F.col(f"`{text}`")))))
+    return made.withColumns({ids: F.col("_pieces.ids"), decoded: F.col("_pieces.decoded")}).drop("_pieces")

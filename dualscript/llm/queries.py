@@ -10,6 +10,7 @@ from dualscript.llm import (
     byte_bpe, embedding_dedup, html_crf, language_id, line_dedup, ngram_join, packing, piece_bpe, quality_rules,
     spelling, token_counts, turn_repair, warc,
 )
+from dualscript.session import ship_package
 
 PACKER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +18,7 @@ PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -84,9 +86,7 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = public_tokenizers.path(PIECES)
-    encoded = piece_bpe.piece_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
-    out = piece_bpe.piece_texts(encoded, model)
+    out = piece_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(PIECES))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
