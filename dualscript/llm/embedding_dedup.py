@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -10,13 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dualscript.llm.common import connected_components
+from dualscript.llm.common import connected_components, stored
 from dualscript.operators.lookup import balanced_lookup
 from dualscript.operators.ranking import number_rows
 from dualscript.sources.storage import materialise
 
 COSINE = 0.95
 TILE = 2048  # vectors of a tile
+STRIP = 256  # rows of a tile compared at once
+BAND = 32  # tiles of a band at most, which a task holds
+PAIRS = 1 << 14  # pairs computed in full at once
 LEAD = (8, 16, 32)  # dimensions after which a tile asks again whether a pair can still link
 SAMPLE = 20_000  # vectors the axes are fitted to; they order the work and decide no link
 SLACK = 1e-9  # rounding of partial sums; survivors are computed anew, in full
@@ -53,88 +57,123 @@ def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / np.sqrt((a * a).sum(1) * (b * b).sum(1))
 
 
-def linked_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places ``i, j`` of all pairs with a cosine of ``COSINE`` or more.
+@dataclass
+class Tile:
+    """Vectors of a tile: along the axes, and how long what follows each leading part is."""
+
+    ids: np.ndarray
+    copies: np.ndarray
+    unit: np.ndarray
+    along: np.ndarray
+    rest: dict[int, np.ndarray]
+
+    @classmethod
+    def of(cls, ids: np.ndarray, copies: np.ndarray, x: np.ndarray, axes: np.ndarray) -> Tile:
+        u = unit(x)
+        along = u @ axes
+        rest = {k: np.sqrt((along[:, k:] ** 2).sum(1)) for k in LEAD if k < axes.shape[0]}
+        return cls(ids, copies, u, along, rest)
+
+
+def linked_pairs(a: Tile, b: Tile, rows: slice) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``i, j`` of all pairs of some rows of ``a`` and all of ``b`` with a cosine of ``COSINE`` or more.
 
     Products of the leading axes are summed first.  The rest of a product is at
     most the product of the suffix norms; pairs that cannot reach the threshold
     are left, and once few are, each of the others is computed in full.
     """
-    ua, ub = unit(a), unit(b)
-    pa_, pb = ua @ axes, ub @ axes
-    d, done = axes.shape[0], 0
-    total = np.zeros((len(a), len(b)))
-    for k in [*[k for k in LEAD if k < d], d]:
-        total += pa_[:, done:k] @ pb[:, done:k].T
+    d, done = a.along.shape[1], 0
+    left = a.along[rows]
+    total = np.zeros((len(left), len(b.along)))
+    for k in [*a.rest, d]:
+        total += left[:, done:k] @ b.along[:, done:k].T
         done = k
-        bound = total
-        if k < d:
-            bound = total + np.sqrt(np.maximum(0, (pa_[:, k:] ** 2).sum(1)))[:, None] * np.sqrt(
-                np.maximum(0, (pb[:, k:] ** 2).sum(1)))[None, :]
-        i, j = np.nonzero(bound >= COSINE - SLACK)
-        if len(i) * d < 4 * len(a) * len(b):
+        near = total >= COSINE - SLACK if k == d else total + a.rest[k][rows][:, None] * b.rest[k][None, :] >= COSINE - SLACK
+        if np.count_nonzero(near) * d < 4 * near.size:
             break
+    i, j = np.nonzero(near)
+    i += rows.start
     keep = np.zeros(len(i), bool)
-    for at in range(0, len(i), 1 << 18):
-        s = slice(at, at + (1 << 18))
-        keep[s] = _cosines(ua[i[s]], ub[j[s]]) >= COSINE
+    for at in range(0, len(i), PAIRS):
+        s = slice(at, at + PAIRS)
+        keep[s] = _cosines(a.unit[i[s]], b.unit[j[s]]) >= COSINE
     return i[keep], j[keep]
 
 
-def _tile_links(axes: np.ndarray):
-    """Per pair of tiles: links of each vector, weighted by copies, and edges that span them."""
+def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels, each the place of a root, after nodes ``i`` and ``j`` are linked."""
+    while True:
+        low = np.minimum(label[i], label[j])
+        root = np.arange(len(label))
+        np.minimum.at(root, label[i], low)
+        np.minimum.at(root, label[j], low)
+        new = root[label]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def tile_links(a: Tile, b: Tile) -> list[tuple[int, int, int]]:
+    """Per linked vector of two tiles, or of one with itself: one it is connected with, and its links, by copies.
+
+    The tile is worked through in strips; of a strip only counts and labels
+    stay, so memory follows the rows of a tile however many links it has.
+    """
+    same, n = a is b, len(a.ids)
+    nodes = a.ids if same else np.concatenate([a.ids, b.ids])
+    label, links = np.arange(len(nodes)), np.zeros(len(nodes))
+    for at in range(0, n, STRIP):
+        i, j = linked_pairs(a, b, slice(at, min(at + STRIP, n)))
+        if same:
+            i, j = i[i != j], j[i != j]
+        if not len(i):
+            continue
+        links[:n] += np.bincount(i, weights=b.copies[j], minlength=n)
+        if not same:
+            links[n:] += np.bincount(j, weights=a.copies[i], minlength=len(b.ids))
+        label = _joined(label, i, j if same else j + n)
+    linked = np.flatnonzero(links)
+    return [(int(nodes[k]), int(nodes[label[k]]), int(links[k])) for k in linked]
+
+
+def _band_links(axes: np.ndarray):
+    """Links of each pair of bands: all tiles of the first are held, those of the second pass by."""
     schema = pa.schema([("node", pa.int64()), ("peer", pa.int64()), ("links", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, copies, x = _unpacked(row["_one"])
-                same = row["_two"] is None
-                ids2, copies2, y = (ids, copies, x) if same else _unpacked(row["_two"])
-                i, j = linked_pairs(x, y, axes)
-                if same:
-                    i, j = i[i != j], j[i != j]
-                if not len(i):
-                    continue
-                out: list[tuple[int, int, int]] = []
-                n = len(ids)
-                sums = np.bincount(i, weights=copies2[j], minlength=n)
-                # a vector's smallest partner is enough to connect it, with its partner's own
-                for own, other, sums_, at, to in ((ids, ids2, sums, i, j),) if same else (
-                        (ids, ids2, sums, i, j),
-                        (ids2, ids, np.bincount(j, weights=copies[i], minlength=len(ids2)), j, i)):
-                    roots = _roots(own, other, at, to, same)
-                    for r in np.flatnonzero(sums_ > 0):
-                        out.append((int(own[r]), int(roots[r]), int(sums_[r])))
-                a, b, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], schema=schema)
+            for x, y, second, blob in zip(*[batch.column(k) for k in range(4)]):
+                pair, second = (x.as_py(), y.as_py()), second.as_py()
+                if pair != now:
+                    now, held = pair, []
+                tile = Tile.of(*_unpacked(blob.as_py()), axes)
+                others = held if second or now[0] != now[1] else [*held, tile]
+                if not second:
+                    held.append(tile)
+                    if now[0] != now[1]:
+                        continue
+                for other in others:
+                    out = tile_links(other, tile)
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
 
     return run
 
 
-def _roots(own: np.ndarray, other: np.ndarray, at: np.ndarray, to: np.ndarray, same: bool) -> np.ndarray:
-    """A vector that each row is connected with over the links of this pair of tiles."""
-    nodes = own if same else np.concatenate([own, other])
-    to = to if same else to + len(own)
-    label = nodes.copy()
-    while True:
-        before = label.copy()
-        np.minimum.at(label, at, before[to])
-        np.minimum.at(label, to, label[at])
-        if (label == before).all():
-            return label[:len(own)]
-
-
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, d = np.frombuffer(blob, "<i8", 2)
-    ids = np.frombuffer(blob, "<i8", n, 16)
-    copies = np.frombuffer(blob, "<i8", n, 16 + 8 * n)
-    return ids, copies, np.frombuffer(blob, "<f8", n * d, 16 + 16 * n).reshape(n, d)
+    n, d, size = (int(k) for k in np.frombuffer(blob, "<i8", 3))
+    ids = np.frombuffer(blob, "<i8", n, 24)
+    copies = np.frombuffer(blob, "<i8", n, 24 + 8 * n)
+    return ids, copies, np.frombuffer(blob, f"<f{size}", n * d, 24 + 16 * n).reshape(n, d).astype(float)
 
 
 def _packed(ids: np.ndarray, copies: np.ndarray, x: np.ndarray) -> bytes:
-    return b"".join([np.array(x.shape, "<i8").tobytes(), ids.astype("<i8").tobytes(),
-                     copies.astype("<i8").tobytes(), np.ascontiguousarray(x, "<f8").tobytes()])
+    """A tile in one value; components in single precision where that is all they have."""
+    short = x.astype("<f4")
+    kind = "<f4" if np.array_equal(short.astype(float), x) else "<f8"
+    return b"".join([np.array([*x.shape, int(kind[2])], "<i8").tobytes(), ids.astype("<i8").tobytes(),
+                     copies.astype("<i8").tobytes(), np.ascontiguousarray(x, kind).tobytes()])
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -148,9 +187,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     smallest; equal rows count one by one; an empty table gives an empty result.
 
     Equal vectors are one class with a number of copies.  Classes are ordered
-    along the first principal axis and cut into tiles.  Tiles whose ranges on
-    the leading axes lie too far apart are never paired; the others are
-    compared tile by tile, in tasks of bounded size.  What a pair of tiles
+    along the first principal axis and cut into tiles, and some tiles in a row
+    are a band.  Bands whose ranges on the leading axes lie too far apart are
+    never paired; a task compares the tiles of two others.  With g bands a
+    vector travels about g times in all.  What a pair of tiles needs and
     returns grows with its rows, not with its links.
     """
     spark = vectors.sparkSession
@@ -194,18 +234,19 @@ def _linked_classes(spark, classes: DataFrame) -> DataFrame:
         return pd.DataFrame({"_tile": [batch["_tile"].iloc[0]], "_blob": [_packed(
             batch["_node"].to_numpy(), batch["_copies"].to_numpy(), np.array(batch["_v"].tolist(), float))]})
 
-    placed = materialise(placed, "vector-tiles")
-    tiles = materialise(placed.select("_tile", "_node", "_copies", "_v").groupBy("_tile").applyInPandas(
-        tile, "_tile long, _blob binary"), "tiles")
-    boxes = placed.groupBy("_tile").agg(*[f(F.get("_lead", F.lit(k))).alias(f"{n}{k}") for k in range(min(LEAD[0], max(1, axes.shape[0])))
-                                          for f, n in ((F.min, "lo"), (F.max, "hi"))])
-    pairs = _tile_pairs(boxes)
-    one, two = (tiles.select(F.col("_tile").alias(n), F.col("_blob").alias(b)) for n, b in (("x", "_one"), ("y", "_two")))
-    own = tiles.select(F.col("_blob").alias("_one"), F.lit(None).cast("binary").alias("_two"))
-    both = pairs.join(one, "x").join(two, "y").select("_one", "_two")
-    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    work = own.unionByName(both).repartition(cores)
-    links = materialise(work.mapInArrow(_tile_links(axes), "node long, peer long, links long"), "vector-links")
+    tiles = stored(placed.select("_tile", "_node", "_copies", "_v").groupBy("_tile").applyInPandas(tile, "_tile long, _blob binary"), "tiles")
+    number = tiles.count()
+    wide = max(1, min(BAND, -(-number // _bands(spark.sparkContext.defaultParallelism))))
+    band = F.floor(F.col("_tile") / wide)
+    boxes = placed.groupBy(band.alias("_band")).agg(*[f(F.get("_lead", F.lit(k))).alias(f"{n}{k}") for k in range(min(LEAD[0], max(1, axes.shape[0])))
+                                                      for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    pairs = stored(_band_pairs(boxes), "band-pairs")
+    sides = pairs.select("x", "y", F.explode(F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("_band"), F.lit(False).alias("second"))))
+                                             .otherwise(F.array(F.struct(F.col("x").alias("_band"), F.lit(False).alias("second")),
+                                                                F.struct(F.col("y").alias("_band"), F.lit(True).alias("second"))))).alias("s"))
+    work = tiles.withColumn("_band", band).join(sides.select("x", "y", "s.*"), "_band")
+    work = work.repartition(max(1, pairs.count()), "x", "y").sortWithinPartitions("x", "y", "second", "_tile").select("x", "y", "second", "_blob")
+    links = stored(work.mapInArrow(_band_links(axes), "node long, peer long, links long"), "vector-links", tiles, pairs, led)
     counts = links.groupBy("node").agg(F.sum("links").alias("_links"))
     roots = connected_components(links.select(F.col("node").alias("a"), F.col("peer").alias("b")), "vector")
     table = placed.join(counts, F.col("_node") == F.col("node"), "left").drop("node").join(
@@ -215,12 +256,17 @@ def _linked_classes(spark, classes: DataFrame) -> DataFrame:
     return table.join(least, "_root").select("_sig", "_copies", "_links", "_component")
 
 
-def _tile_pairs(boxes: DataFrame) -> DataFrame:
-    """Pairs ``x < y`` of tiles whose boxes lie near enough for a link.
+def _bands(cores: int) -> int:
+    """So many bands that their pairs are two tasks a core, about."""
+    return int(np.ceil(np.sqrt(4 * cores)))
+
+
+def _band_pairs(boxes: DataFrame) -> DataFrame:
+    """Pairs ``x <= y`` of bands whose boxes lie near enough for a link.
 
     Unit vectors with a cosine of ``COSINE`` are at most ``reach`` apart on any
-    axis.  Tiles follow the first axis: each meets the cells of width ``reach``
-    that it touches, and tiles meet in their common or neighbouring cells.
+    axis.  Bands follow the first axis: each meets the cells of width ``reach``
+    that it touches, and bands meet in their common or neighbouring cells.
     """
     reach = float(np.sqrt(2 - 2 * COSINE)) + 1e-6
     cell = F.sequence(F.floor(F.col("lo0") / reach), F.floor(F.col("hi0") / reach))
@@ -230,5 +276,5 @@ def _tile_pairs(boxes: DataFrame) -> DataFrame:
     gap = sum((F.greatest(F.lit(0.0), F.col(f"b.lo{k}") - F.col(f"a.hi{k}"), F.col(f"a.lo{k}") - F.col(f"b.hi{k}")) ** 2
                for k in names), F.lit(0.0))
     return at.alias("a").join(near.alias("b"), F.col("a._cell") == F.col("b._cell")).where(
-        (F.col("a._tile") < F.col("b._tile")) & (gap <= reach ** 2)).select(
-        F.col("a._tile").alias("x"), F.col("b._tile").alias("y")).distinct()
+        (F.col("a._band") <= F.col("b._band")) & (gap <= reach ** 2)).select(
+        F.col("a._band").alias("x"), F.col("b._band").alias("y")).distinct()

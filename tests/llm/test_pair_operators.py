@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -95,6 +96,7 @@ def vectors():
 @pytest.mark.parametrize("tile", [7, 2048])
 def test_near_duplicate_vectors(spark, monkeypatch, tile):
     monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    monkeypatch.setattr(embedding_dedup, "STRIP", tile // 2)
     rows = vectors()
     def ok(x):
         return bool(x) and all(c is not None and np.isfinite(c) for c in x) and any(x)
@@ -116,11 +118,34 @@ def test_tiles_lose_no_pair():
     a = rng.normal(size=(200, 40))
     b = np.concatenate([a[:50] + rng.normal(0, 0.22, (50, 40)), rng.normal(size=(100, 40))])
     axes = np.linalg.qr(rng.normal(size=(40, 40)))[0]
-    i, j = embedding_dedup.linked_pairs(a, b, axes)
+    one, two = (embedding_dedup.Tile.of(np.arange(len(x)), np.ones(len(x), int), x, axes) for x in (a, b))
+    parts = [embedding_dedup.linked_pairs(one, two, slice(k, k + 64)) for k in range(0, 200, 64)]
+    i, j = (np.concatenate(x) for x in zip(*parts))
     cos = embedding_dedup.unit(a) @ embedding_dedup.unit(b).T
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*map(list, np.nonzero(cos >= 0.95))))
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_dense_tiles_need_memory_by_their_rows(same):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=64) + rng.normal(0, 0.05, (embedding_dedup.TILE, 64))
+    one, two = (embedding_dedup.Tile.of(np.arange(len(x)) + at, np.full(len(x), 2), x, np.eye(64)) for at in (0, 10_000))
+    tracemalloc.start()
+    out = embedding_dedup.tile_links(one, one if same else two)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n = embedding_dedup.TILE
+    assert peak < 100e6 and len(out) == (n if same else 2 * n) and len({p for _, p, _ in out}) == 1
+    assert {k for _, _, k in out} == {2 * (n - 1) if same else 2 * n}
+
+
+def test_tiles_keep_single_precision_where_it_is_exact():
+    rng = np.random.default_rng(3)
+    for x in (rng.normal(size=(5, 3)), rng.normal(size=(5, 3)).astype("f4").astype(float)):
+        ids, copies, y = embedding_dedup._unpacked(embedding_dedup._packed(np.arange(5), np.arange(5) + 1, x))
+        assert (ids == np.arange(5)).all() and (copies == np.arange(5) + 1).all() and (x == y).all()
+
+
 PAGE = "<html><body>" + "<p>text of the page</p>" * 60 + "</body></html>"
 
 
