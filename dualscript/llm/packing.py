@@ -21,6 +21,7 @@ from dualscript.sources.storage import materialise
 CAPACITY = 1024
 END = 2
 CACHE_WORDS = 1_200_000  # words whose ids a worker remembers; the memory bound
+SLICE, JOINED = 1 << 21, 2_000  # characters whose new words are learned together; words encoded in one call
 ROUNDS, SWEEPS = 6, 30  # of pattern enumeration, and of the least squares after each
 
 
@@ -58,43 +59,61 @@ class WordIds(dict):
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text."""
-        if self.added is None or not self.added.search(text):
-            return self._ordinary(text)
+        return next(self.batch([text]))
+
+    def batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text; words are learned for about ``SLICE`` characters of texts at once."""
+        held: list[str] = []
+        size = 0
+        for t in texts:
+            held.append(t or "")
+            size += len(t or "")
+            if size >= SLICE:
+                yield from self._slice(held)
+                held, size = [], 0
+        yield from self._slice(held)
+
+    def _slice(self, texts: list[str]) -> Iterator[bytes]:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        # A line feed before a text makes its first word a line start like all others.
+        split = [None if self.added is not None and self.added.search(t) else f"\n{t}".replace("\n", " \n").split(" ")[1:]
+                 for t in texts]
+        new = set().union(*[parts for parts in split if parts is not None]).difference(self)
+        # somewhere white space is not one space or line feed between words
+        odd = {p for p in new if p.split() != [p.removeprefix("\n")]}
+        self._learn(new - odd)
+        for t, parts in zip(texts, split):
+            if parts is None:
+                yield self._with_added(t)
+            elif odd and not odd.isdisjoint(parts):
+                yield self._cut(t)
+            else:
+                yield b"".join(map(self.__getitem__, parts))[4:]
+
+    def _with_added(self, text: str) -> bytes:
         if not self.plain:
             return self._encode(text).tobytes()
         cut = self.added.split(text)
-        return b"".join([self._encode(p).tobytes() if k % 2 else self._ordinary(p) for k, p in enumerate(cut) if p])
-
-    def _ordinary(self, text: str) -> bytes:
-        """The ids of a text without added tokens."""
-        # A line feed before the text makes its first word a line start like all others.
-        parts = f"\n{text}".replace("\n", " \n").split(" ")[1:]
-        try:
-            return b"".join(map(self.__getitem__, parts))[4:]
-        except KeyError:
-            return self._unknown(text, parts)
-
-    def _unknown(self, text: str, parts: list[str]) -> bytes:
-        new = {p for p in parts if p not in self}
-        if any(len(p.split()) != 1 or p.split()[0] != p.removeprefix("\n") for p in new):
-            # somewhere white space is not one space or line feed between words
-            cut = parts_of(text)
-            self._learn({p[1:] for p in cut if is_word(p)} - self.keys())
-            return b"".join([self[p[1:]] if is_word(p) else self._encode(p).tobytes() for p in cut])
-        self._learn(new)
-        return b"".join(map(self.__getitem__, parts))[4:]
+        return b"".join([self._encode(p).tobytes() if k % 2 else self._cut(p) for k, p in enumerate(cut) if p])
+
+    def _cut(self, text: str) -> bytes:
+        """The ids of a text with any white space and without added tokens."""
+        cut = parts_of(text)
+        self._learn({p[1:] for p in cut if is_word(p)} - self.keys())
+        return b"".join([self[p[1:]] if is_word(p) else self._encode(p).tobytes() for p in cut])
 
     def _learn(self, new: set[str]) -> None:
         """Encode words joined by line feeds, which have an id of their own."""
-        if not new:
-            return
-        words = list(new)
-        ids = self._encode("\n".join([w[1:] if w[0] == "\n" else " " + w for w in words]))
-        ends = np.append(np.flatnonzero(ids == self.feed[0]), len(ids)) * 4
-        raw, start, feed = ids.tobytes(), 0, self.feed.tobytes()
-        for word, end in zip(words, ends.tolist(), strict=True):
-            self[word] = feed + raw[start:end] if word[0] == "\n" else raw[start:end]
-            start = end + 4
+        words, feed = list(new), self.feed.tobytes()
+        for at in range(0, len(words), JOINED):
+            part = words[at:at + JOINED]
+            ids = self._encode("\n".join([w[1:] if w[0] == "\n" else " " + w for w in part]))
+            ends = np.append(np.flatnonzero(ids == self.feed[0]), len(ids)) * 4
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                self[word] = feed + raw[start:end] if word[0] == "\n" else raw[start:end]
+                start = end + 4
 
 
 @functools.lru_cache(maxsize=1)
@@ -289,10 +308,8 @@ def pieces_of_docs(docs: DataFrame, tokenizer: str, key: str, text: str, capacit
         ids, part, ranks = _memory(spec.value), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             columns: list[list] = [[] for _ in range(7)]
-            for key_, t in zip(batch["_id"], batch["_text"]):
-                if len(ids) > CACHE_WORDS:
-                    ids.clear()
-                raw = ids.ids(t) + end if t else end
+            for key_, raw in zip(batch["_id"], ids.batch(batch["_text"].tolist())):
+                raw += end
                 n, start, piece = len(raw) // 4, 0, 0
                 size = n % capacity or capacity
                 while start < n:
