@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 from collections.abc import Iterator
 from itertools import pairwise
@@ -277,16 +278,21 @@ def piece_texts(tokens: DataFrame, model: str, ids: str = "ids", decoded: str =
     return tokens.withColumn(decoded, texts(F.col(f"`{ids}`")))
 
 
-def round_trip(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``docs`` with the columns of ``piece_ids`` and ``piece_texts``, each text encoded once and its ids decoded."""
+def piece_digests(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_tokens, ids_sha256, decoded_sha256`` of what ``piece_ids`` and ``piece_texts`` give.
+
+    Ids are digested as decimals joined by commas, decoded texts in UTF-8.  A
+    text is encoded once, and its ids go no further than its digests.
+    """
     raw = _model(docs, model)
 
-    @F.pandas_udf("ids array<int>, decoded string")
-    def both(texts: pd.Series) -> pd.DataFrame:
-        encoder = _encoder(raw.value)
-        found = [x.astype(np.int32) for x in encoder.encode(texts.tolist())]
-        return pd.DataFrame({"ids": found, "decoded": [encoder.model.library.decode(x.tolist()) for x in found]})
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(texts: pd.Series) -> pd.DataFrame:
+        encoder, rows = _encoder(raw.value), []
+        for found in encoder.encode(texts.tolist()):
+            ids = found.tolist()
+            rows.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                         hashlib.sha256(encoder.model.library.decode(ids).encode()).hexdigest()))
+        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    # an explode of one struct keeps the optimiser from encoding once per column
-    made = docs.withColumn("_pieces", F.explode(F.array(both(F.col(f"`{text}`")))))
-    return made.withColumns({ids: F.col("_pieces.ids"), decoded: F.col("_pieces.decoded")}).drop("_pieces")
+    return docs.select(F.col(f"`{key}`").alias(key), digests(F.col(f"`{text}`")).alias("_d")).select(key, "_d.*")

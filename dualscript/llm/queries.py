@@ -86,10 +86,7 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = piece_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(PIECES))
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return piece_bpe.piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
