@@ -61,9 +61,10 @@ def test_jaccard_components(docs, none):
     assert ngram_join.jaccard_components(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
-@pytest.mark.parametrize("block", [2, 64])
-def test_chains_of_near_copies(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, few", [(2, 64), (64, 64), (2, 1), (5, 2)])
+def test_chains_of_near_copies(spark, monkeypatch, block, few):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "FEW", few)
     rng, texts = random.Random(5), []
     for family in range(6):
         t = words(family, rng.randrange(30, 90))
@@ -74,6 +75,20 @@ def test_chains_of_near_copies(spark, monkeypatch, block):
     check_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
 
+def test_a_common_line_one_large_group_and_one_chain(spark, monkeypatch):
+    """Tokens of many components go by tiles; nothing is lost and nothing joined that does not link."""
+    monkeypatch.setattr(ngram_join, "FEW", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    line, base, texts = words(50, 30), words(51, 60), []
+    texts += [line + " " + words(1000 + k, 4 + k % 12) for k in range(60)]
+    texts += [edited(base, 2000 + k, 2 + k % 5) for k in range(60)]
+    chain = words(52, 80)
+    for k in range(25):
+        chain = edited(chain, 3000 + k, 2)
+        texts.append(chain)
+    check_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 130)] + [(None, 3)]
@@ -113,6 +128,21 @@ def test_near_duplicate_vectors(spark, monkeypatch, tile):
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_parities_never_exceed_the_difference(seed):
+    rng = random.Random(seed)
+    base = [rng.getrandbits(64) for _ in range(rng.choice([1, 3, 31, 33, 64, 65, 300]))]
+    a = np.unique(np.array(base + [rng.getrandbits(64) for _ in range(rng.randrange(20))], np.uint64))
+    b = np.unique(np.array(base, np.uint64))
+    bits = [ngram_join.parities(x).view("<u8") for x in (a, b)]
+    assert all(2 * len(x) <= 64 * len(w) <= max(64, 4 * len(x)) for x, w in zip((a, b), bits))
+    big, small = sorted(bits, key=len, reverse=True)
+    while len(big) > len(small):
+        big = big[:len(big) // 2] ^ big[len(big) // 2:]
+    differ = sum(int(x).bit_count() for x in big ^ small)
+    assert differ <= len(np.setxor1d(a, b))
+
+
 def test_tiles_lose_no_pair():
     rng = np.random.default_rng(4)
     a = rng.normal(size=(200, 40))
@@ -229,6 +259,14 @@ def test_only_named_parts_are_silent(page, want):
     assert [b.text for b in html_crf.blocks_of(page)] == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("Just some text.", "Just some text."), ("<html><body>One\n two &amp; three<br>four</body></html>", "One two & three four"),
+    ("<html><head><title>t</title></head><body>Only text</body></html>", "Only text"), ("", ""), ("<script>x</script>", ""),
+])
+def test_text_without_elements_is_main(field, page, want):
+    assert html_crf.main_text(page, field) == want
+
+
 def test_fallback_text_of_an_article_is_main(field):
     t = "<p>Some long words of the story that go on for a while, as they do.</p>"
     page = f"<body><noscript><div class=notice>Please turn on scripts</div></noscript><article><h1>T</h1>{t}<noscript>{t}</noscript>{t}</article>"
