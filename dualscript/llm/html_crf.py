@@ -400,7 +400,10 @@ def learn(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES)
 
 def main_text(page: str | None, model: Crf) -> str:
     blocks = blocks_of(page or "")
-    return "\n".join(b.text for b, s in zip(blocks, model.decode(blocks)) if s)
+    states = model.decode(blocks)
+    if not any(states) and all({t for t, _ in b.path} <= {"html", "body"} for b in blocks):
+        states = [1] * len(blocks)  # text without elements has no part that could be anything else
+    return "\n".join(b.text for b, s in zip(blocks, states) if s)
 
 
 def extract(pages: DataFrame, model: Crf, key: str = "page_id", url: str = "url", html_col: str = "html") -> DataFrame:
