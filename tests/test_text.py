@@ -14,15 +14,9 @@ def apply(frame, fn, values):
     return [r[1] for r in df.select("i", fn(F.col("s")).alias("out")).orderBy("i").collect()]
 
 
-def toggled(text, opener, closer, start_on):
-    """Card (c) of the survey, one character at a time."""
-    on, out = start_on, ""
-    for ch in text:
-        if ch == opener:
-            on = not on
-        elif ch != closer and on:
-            out += ch
-    return out, on
+def outside(text, bracket):
+    """What stands where an even number of ``bracket`` has come before, without brackets."""
+    return "".join(c for i, c in enumerate(text) if c not in "()" and text.count(bracket, 0, i) % 2 == 0)
 
 
 @pytest.fixture(scope="module")
@@ -31,12 +25,17 @@ def bracket_strings():
     return ["".join(rng.choice("()ab1 /") for _ in range(rng.randint(0, 14))) for _ in range(400)]
 
 
-def test_bracket_text_matches_character_walk(frame, bracket_strings):
+def test_bracket_text_is_what_an_even_number_of_brackets_precedes(frame, bracket_strings):
     spelled = apply(frame, lambda c: T.bracket_text(c, "spelling"), bracket_strings)
-    assert spelled == [toggled(s, ")", "(", True)[0] for s in bracket_strings]
+    assert spelled == [outside(s, ")") for s in bracket_strings]
     spoken = apply(frame, lambda c: T.bracket_text(c, "phonetic"), bracket_strings)
-    expected = [toggled(s, "(", ")", True) for s in bracket_strings]
-    assert spoken == [out if closed else None for out, closed in expected]
+    assert spoken == [None if s.count("(") % 2 else outside(s, "(") for s in bracket_strings]
+
+
+def test_bracket_text_by_hand(frame):
+    values = ["order (12)/(one two) ready", "(a)(b)c", "x)y(z", "((1)/(2)"]
+    assert apply(frame, lambda c: T.bracket_text(c, "spelling"), values) == ["order 12 ready", "ac", "x", "1"]
+    assert apply(frame, lambda c: T.bracket_text(c, "phonetic"), values) == ["order one two ready", "bc", None, None]
 
 
 def test_stray_digit_equals_removal_then_search(frame, bracket_strings):
