@@ -1,7 +1,7 @@
 """Whole stages from files to files, as queries: trees, CSV folders, metric files.
 
 The files are derived from the driver's tables first and then read as any
-other input.  Spark names written files, so texts tell them apart here.
+other input.
 """
 
 from __future__ import annotations
@@ -34,15 +34,11 @@ LATER = {"src5.d": 2, "src6.d": 1}  # quotas of the second scenario
 
 
 def _tree(spark: SparkSession, sf: str) -> str:
-    """The labelled files as a tree of folders, one text file each; other files beside them."""
+    """The labelled files as a tree of folders, one file each under its own name."""
     root = _fresh(spark, "tree")
     parts = F.split("dir", "/")
-    files = fixture(spark, sf, "raw_files").select(
-        *[parts[i].alias(name) for i, name in ((2, "split"), (3, "domain"), (4, "g"), (5, "s"))], "file_name", "text")
-    folders = ["split", "domain", "g", "s"]
-    is_text = F.contains("file_name", F.lit(tree.TXT))
-    for wanted, kind in ((is_text, "text"), (~is_text, "csv")):
-        files.where(wanted).select(*folders, "text").write.option("maxRecordsPerFile", 1).partitionBy(*folders).mode("append").format(kind).save(root)
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{name}="), parts[i]) for i, name in ((2, "split"), (3, "domain"), (4, "g"), (5, "s"))])
+    tree.write_files(fixture(spark, sf, "raw_files").select(folder.alias("dir"), "file_name", "text"), root)
     return root
 
 

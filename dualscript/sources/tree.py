@@ -17,6 +17,8 @@ TRAIN, EVAL, DEV = "train", "eval", "dev"
 SPLIT_FOLDERS = {True: "1.Training", False: "2.Validation"}
 # --- end of fixed values ---
 
+SCANS_A_TASK = 32  # a task reads so many of Spark's file partitions, about 32 small files each
+
 
 def _segment_regex(glob: str) -> str:
     """One path segment of a glob as a regexp."""
@@ -78,6 +80,51 @@ def _split_root(root: str, folder: str | None) -> str:
     return f"{root.rstrip('/')}/{folder}" if folder else root
 
 
+def _in_fewer_tasks(scan: DataFrame) -> DataFrame:
+    """A plain scan of very many small files in tasks that are worth their start.
+
+    Spark counts a file as 4 MB at least, so a task would read 32 files.
+    """
+    parts = scan.rdd.getNumPartitions()
+    enough = max(4 * scan.sparkSession.sparkContext.defaultParallelism, parts // SCANS_A_TASK)
+    return scan.coalesce(enough) if parts > enough else scan
+
+
+def write_files(files: DataFrame, root: str) -> None:
+    """One file per row of ``dir, file_name, text``: ``root/dir/file_name`` holds the text and a newline.
+
+    Tasks write their rows into place through Arrow's file systems; a file gets
+    its name when it is whole, so a repeated task changes nothing.  Spark's own
+    writers start a process per file on a local file system, to set its mode.
+    """
+    path = files.sparkSession._jvm.org.apache.hadoop.fs.Path(root)
+    top = path.getFileSystem(files.sparkSession._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    top = re.sub("^file:/+", "file:///", top)
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(top)
+        made = set()
+        for batch in batches:
+            for folder, name, text in zip(*[c.to_pylist() for c in batch.columns]):
+                at = f"{base}/{folder}"
+                if at not in made:
+                    store.create_dir(at)
+                    made.add(at)
+                part = f"{at}/.{name}-{uuid.uuid4().hex}"  # names with a dot in front are not read
+                with store.open_output_stream(part) as out:
+                    out.write((text or b"") + b"\n")
+                store.move(part, f"{at}/{name}")
+            yield pa.record_batch({"n": pa.array([batch.num_rows], pa.int64())})
+
+    rows = files.select("dir", "file_name", F.col("text").cast("binary").alias("text"))
+    rows.mapInArrow(write, "n bigint").agg(F.sum("n")).first()
+
+
 def list_tree(
     spark: SparkSession, root: str, folder: str | None = None, parent_glob: str = "*", child_glob: str = "**/*",
 ) -> DataFrame:
@@ -93,7 +140,7 @@ def list_tree(
     # without the column of contents this source only asks the file system
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(top)
     found = raw.select(*[c.alias(n) for n, c in _located(_plain_path(F.col("path")), base).items()], F.col("length").alias("n_bytes"))
-    return found.where(F.col("rel").rlike(data_dir_regex(parent_glob, child_glob)))
+    return _in_fewer_tasks(found.where(F.col("rel").rlike(data_dir_regex(parent_glob, child_glob))))
 
 
 def read_tree(
@@ -123,7 +170,7 @@ def read_tree(
         wanted = wanted.where(at["rel"].isin(list(only_dirs)) if only_dirs else F.lit(False))
     if but_dirs:
         wanted = wanted.where(~at["rel"].isin(list(but_dirs)))
-    return wanted.select(
+    return _in_fewer_tasks(wanted).select(
         *[c.alias(n) for n, c in at.items()],
         # Text mode reading turns every line ending into a newline.
         F.regexp_replace("value", "\r\n?", "\n").alias("text"),

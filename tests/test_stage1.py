@@ -1,6 +1,7 @@
 """Stage 1 from files: listing, hold-out, scripts in one file, many domains."""
 
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +120,28 @@ def test_fifty_thousand_domains(frame):
     df = frame([(f"/x/d{k}-/d{49_999 - k}-",) for k in range(200)], "p string")
     got = [r.d for r in df.select(C.domain_of(F.col("p"), names).alias("d")).collect()]
     assert got == [min(f"d{k}-", f"d{49_999 - k}-") for k in range(200)]
+
+
+def test_files_under_their_names(spark, tmp_path):
+    rows = [("a/b", "1.txt", "x\ny"), ("a/b", "2.wav", None), ("c=가 나", "3.txt", "z")]
+    tree.write_files(spark.createDataFrame(rows, "dir string, file_name string, text string"), str(tmp_path / "t"))
+    found = {str(p.relative_to(tmp_path / "t")): p.read_text() for p in (tmp_path / "t").rglob("*") if p.is_file()}
+    assert found == {f"{d}/{n}": f"{t or ''}\n" for d, n, t in rows}
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    (tmp_path / "d" / "e").mkdir(parents=True)
+    for k in range(640):
+        (tmp_path / "d" / "e" / f"{k}.txt").write_text(f"{k}\n")
+    for files in (tree.list_tree(spark, str(tmp_path)), tree.read_tree(spark, str(tmp_path))):
+        assert files.count() == 640
+        assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_files_are_read_once(spark, root, tmp_path):
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy)
+    report = C.make_scripts(spark, [scenario(copy)], str(tmp_path / "out"), seed="x")
+    before = report["train"].first()
+    copy.rename(tmp_path / "gone")  # the report needs no file any more
+    assert before["n_total"] and report["train"].first() == before and report["rejected"].count() >= 0
