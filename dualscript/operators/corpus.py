@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dualscript.functions import text as T
 from dualscript.functions.domains import smallest_of
+from dualscript.sources.storage import materialise
 from dualscript.sources.tree import DEV, EVAL, TRAIN, TXT, SPLIT_FOLDERS, list_tree, quarantine, read_tree, write_script_file
 
 # --- fixed values: vendors whose folder layout is accepted ---
@@ -208,15 +209,19 @@ def make_scripts(
             raise ValueError(f"{s.name}: more than {BROADCAST_ROWS} folders to hold out")
         held[s.name] = [r.rel for r in scenario_holdout(spark, s, seed).select("rel").collect()]
     report: dict[str, DataFrame] = {}
-    for split in (TRAIN, DEV) if is_train else (EVAL,):
-        # a split without quota, such as dev of no domains, is an empty file
-        files = [scenario_files(spark, s, split, held.get(s.name, ())) for s in good]
-        if not files:
-            continue
-        readable, broken = quarantine(reduce(DataFrame.unionByName, files))
-        labelled = label_files(readable)
-        write_script_file(first_scripts(labelled), f"{out}/{split}.trn", "dir", "file_name")
-        report[split] = script_counts(labelled)
+    found = []
+    for s in good:
+        files = read_tree(spark, s.root, s.parent_glob, s.child_glob, folder=s.folders[is_train])
+        is_dev = F.col("rel").isin(held[s.name]) if held.get(s.name) else F.lit(False)
+        found.append(files.withColumn("split", F.when(is_dev, DEV).otherwise(TRAIN) if is_train else F.lit(EVAL)))
+    if found:
+        # files are listed and opened once; what follows reads the stored texts
+        readable, broken = quarantine(materialise(reduce(DataFrame.unionByName, found), "files"))
         rejected.append(broken)
+        for split in (TRAIN, DEV) if is_train else (EVAL,):
+            # a split without quota, such as dev of no domains, is an empty file
+            labelled = label_files(readable).where(F.col("split") == split)
+            write_script_file(first_scripts(labelled), f"{out}/{split}.trn", "dir", "file_name")
+            report[split] = script_counts(labelled)
     report["rejected"] = reduce(DataFrame.unionByName, rejected)
     return report
