@@ -216,3 +216,28 @@ def test_an_unfinished_table_is_not_read(frame, spark, tmp_path):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_frequent_tokens_stay_with_their_text(spark, monkeypatch):
+    """Above the broadcast threshold only rare tokens move; before, all did."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choices(["a", "b", "c", "d"], k=200) + [f"w{k}", f"w{k + 1}"]), "" if k % 3 else f"w{k} <s> a") for k in range(300)]
+    df = spark.createDataFrame(rows, "k long, x string, y string")
+    vocab = V.build_vocab(df, "x", "y")
+    ids = {r.token: r.id for r in vocab.collect()}
+    moved = []
+    plain = L.balanced_lookup
+    monkeypatch.setattr(L, "TOP_KEYS", 10)
+    monkeypatch.setattr(L, "balanced_lookup", lambda left, *rest: moved.append(left) or plain(left, *rest))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        out = V.encode_texts(df, "k", {"p": "x", "r": "y"}, vocab).localCheckpoint()
+        text = {r.k: (r.x, r.y) for r in V.decode_lists(out, "k", {"x": "p", "y": "r"}, vocab).collect()}
+        rare = moved[0].count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.k: (r.p, r.r) for r in out.collect()} == {
+        k: tuple([V.UNK if w == "<s>" else ids[w] for w in t.split()] for t in (x, y)) for k, x, y in rows}
+    assert text == {k: (x, y.replace("<s> ", "")) for k, x, y in rows}
+    assert 0 < rare <= 900
