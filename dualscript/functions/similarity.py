@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+ROWS_AT_ONCE = 64  # rows of an Arrow batch whose tokens are Python strings at a time
 AUTOJUNK_MIN = 200  # difflib ignores frequent items only from this length on
 
 
@@ -145,13 +147,16 @@ def summary_f1(pred: list[list[str]], ref: list[list[str]]) -> float:
     return 2.0 * hits / total if hits else 0.0
 
 
-@F.pandas_udf(StructType([StructField("rougeL", DoubleType()), StructField("rougeLsum", DoubleType())]))
-def _rouge_lcs(pred: pd.Series, ref: pd.Series, pred_lines: pd.Series, ref_lines: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(StructType([StructField("rougeL", DoubleType()), StructField("rougeLsum", DoubleType())]))
+def _rouge_lcs(pred: pa.Array, ref: pa.Array, pred_lines: pa.Array, ref_lines: pa.Array) -> pa.Array:
     rows = []
-    for p, r, pl, rl in zip(pred, ref, pred_lines, ref_lines):
-        whole = lcs_f1(list(p), list(r))
-        rows.append((whole, whole if pl is None else summary_f1([list(x) for x in pl], [list(x) for x in rl])))
-    return pd.DataFrame(rows, columns=["rougeL", "rougeLsum"], dtype="float64")
+    # tokens become Python strings for a few rows at a time, however many a batch holds
+    for at in range(0, len(pred), ROWS_AT_ONCE):
+        for p, r, pl, rl in zip(*[x.slice(at, ROWS_AT_ONCE).to_pylist() for x in (pred, ref, pred_lines, ref_lines)]):
+            whole = lcs_f1(p, r)
+            rows.append((whole, whole if pl is None else summary_f1(pl, rl)))
+    columns = [pa.array([row[k] for row in rows], pa.float64()) for k in range(2)]
+    return pa.StructArray.from_arrays(columns, ["rougeL", "rougeLsum"])
 
 
 def rouge_lcs(pred: Column, ref: Column, pred_lines: Column, ref_lines: Column) -> Column:

@@ -41,3 +41,25 @@ def test_lcs_against_table():
                 row.append(previous[j] + 1 if x == y else max(previous[j + 1], row[j]))
             previous = row
         assert lcs_length(a, b) == previous[-1]
+
+
+def test_rouge_holds_few_rows_in_python():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from dualscript.functions import similarity as S
+
+    n = 3000
+    lines = [[[f"w{k % 7}_{i}" for i in range(20)], [f"x{k}"]] for k in range(n)]
+    pred_lines = pa.array(lines)
+    ref_lines = pa.array([x[::-1] if k % 3 else None for k, x in enumerate(lines)])
+    whole = pa.array([sum(x, []) for x in lines])
+    empty = pa.array([[] for _ in range(n)], pa.list_(pa.string()))
+    got = S._rouge_lcs.func(whole, whole, pa.array([x if k % 3 else None for k, x in enumerate(lines)]), ref_lines).to_pylist()
+    assert got == [{"rougeL": 1.0, "rougeLsum": 1.0}] * n
+    tracemalloc.start()
+    S._rouge_lcs.func(empty, empty, pred_lines, pred_lines.slice(0, n))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000
