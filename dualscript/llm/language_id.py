@@ -8,10 +8,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dualscript.llm.common import pack, unpack
+from dualscript.llm.common import pack, small_table, unpack
 
 BUCKETS = 4096
 DIM = 16
@@ -153,7 +154,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         return LanguageModel((), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     langs = tuple(sorted(totals))
     shares = [(lang_, int(min(1.0, per_lang / n) * (1 << 30))) for lang_, n in totals.items()]
-    limits = spark.createDataFrame(shares, "_lang string, _limit long")
+    limits = small_table(spark, shares, pa.schema([("_lang", pa.string()), ("_limit", pa.int64())]))
     sample = usable.join(F.broadcast(limits), "_lang").where(slot(F.col("_id")) < F.col("_limit")).limit(
         2 * per_lang * len(langs))
 

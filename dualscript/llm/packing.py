@@ -11,16 +11,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from dualscript.llm.common import small_table
 from dualscript.sources.storage import materialise
 
 CAPACITY = 1024
 END = 2
-CACHE_WORDS = 1_200_000  # words whose ids a worker remembers; the memory bound
+CACHE_WORDS = 1_200_000  # words whose ids a worker remembers unless told otherwise; the memory bound
 SLICE, JOINED = 1 << 21, 2_000  # characters whose new words are learned together; words encoded in one call
 ROUNDS, SWEEPS = 6, 30  # of pattern enumeration, and of the least squares after each
 
@@ -45,8 +47,8 @@ class WordIds(dict):
     their own and part what stands around them.
     """
 
-    def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer: Tokenizer, words: int = CACHE_WORDS):
+        self.tokenizer, self.words = tokenizer, words
         self.feed = self._encode("\n")
         added = sorted(tokenizer.get_added_tokens_decoder().values(), key=lambda t: -len(t.content))
         self.added = re.compile(f"({'|'.join(re.escape(t.content) for t in added)})") if added else None
@@ -74,7 +76,7 @@ class WordIds(dict):
         yield from self._slice(held)
 
     def _slice(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self) > CACHE_WORDS:
+        if len(self) > self.words:
             self.clear()
         # A line feed before a text makes its first word a line start like all others.
         split = [None if self.added is not None and self.added.search(t) else f"\n{t}".replace("\n", " \n").split(" ")[1:]
@@ -117,9 +119,9 @@ class WordIds(dict):
 
 
 @functools.lru_cache(maxsize=1)
-def _memory(spec: str) -> WordIds:
+def _memory(spec: str, words: int) -> WordIds:
     """One memory for all tasks of a Python worker."""
-    return WordIds(_tokenizer(spec))
+    return WordIds(_tokenizer(spec), words)
 
 
 def is_word(part: str) -> bool:
@@ -298,14 +300,14 @@ def places(bins: list[Bins]) -> list[tuple[int, int, int, int, int]]:
 _PIECES = "id string, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
 
-def pieces_of_docs(docs: DataFrame, tokenizer: str, key: str, text: str, capacity: int) -> DataFrame:
+def pieces_of_docs(docs: DataFrame, tokenizer: str, key: str, text: str, capacity: int, words: int = CACHE_WORDS) -> DataFrame:
     """Every document's pieces, each with its rank among its task's pieces of that length."""
     with open(tokenizer, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # of fixed size
     end = np.asarray([END], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, part, ranks = _memory(spec.value), TaskContext.get().partitionId(), defaultdict(int)
+        ids, part, ranks = _memory(spec.value, words), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             columns: list[list] = [[] for _ in range(7)]
             for key_, raw in zip(batch["_id"], ids.batch(batch["_text"].tolist())):
@@ -326,7 +328,7 @@ def pieces_of_docs(docs: DataFrame, tokenizer: str, key: str, text: str, capacit
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
-                   capacity: int = CAPACITY) -> DataFrame:
+                   capacity: int = CAPACITY, words: int = CACHE_WORDS) -> DataFrame:
     """``key, piece, start, length, ids_crc32, sequence_id, offset``: one row per piece.
 
     A document's ids are those that the tokenizer gives its text, added tokens
@@ -339,15 +341,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
     fits patterns to it.  Each piece finds its place by its rank within its
     length: its rank in its task, stored with the pieces, plus the counts of
     earlier tasks.  No length is gathered, however many documents have it.
+    A worker remembers the ids of about ``words`` words: fewer of them take
+    less memory and more time.
     """
     spark = docs.sparkSession
-    stored = materialise(pieces_of_docs(docs, tokenizer, key, text, capacity), "pieces")
+    stored = materialise(pieces_of_docs(docs, tokenizer, key, text, capacity, words), "pieces")
     by_task = stored.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = np.zeros(capacity + 1, np.int64)
     for length, n in by_task.groupBy("length").agg(F.sum("n")).collect():
         histogram[length] = n
-    table = spark.createDataFrame(
-        places(plan(histogram)), "length long, first long, end long, base long, offset long")
+    names = ("length", "first", "end", "base", "offset")
+    table = small_table(spark, places(plan(histogram)), pa.schema([(n, pa.int64()) for n in names]))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_task.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     ranked = stored.join(before, ["part", "length"]).withColumn("place", F.col("rank") + F.col("before"))

@@ -195,10 +195,10 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     share = min(1.0, sample_rows / total)
     slot = F.pmod(F.xxhash64("_id"), F.lit(1 << 30))
     # about sample_rows rows, and never more than twice as many
-    picked = usable.where(slot < int(share * (1 << 30))).limit(2 * sample_rows).collect()
-    if not picked:
+    picked = usable.where(slot < int(share * (1 << 30))).limit(2 * sample_rows).toArrow()
+    if not picked.num_rows:
         return []
-    sample = spark.createDataFrame([tuple(r) for r in picked], usable.schema).groupBy("_id").agg(
+    sample = spark.createDataFrame(picked).groupBy("_id").agg(
         F.bool_or("_bad").alias("_bad"))
     rows = statistics(pack(docs, key, text).drop("_rest").join(F.broadcast(sample), "_id")).where(
         "not base_failed").select("_bad", *STATISTICS).limit(4 * sample_rows).toPandas()

@@ -5,13 +5,15 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from dualscript.llm import language_id, quality_rules
+from dualscript.llm import language_id, packing, quality_rules
+from dualscript.llm.common import small_table
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -126,6 +128,32 @@ def test_each_stage_does_its_part(spark, folder):
         assert sum(n for _, n in places) <= 1024 and all(a + n == b for (a, n), (b, _) in zip(places, places[1:])) and places[0][0] == 0
 
 
+def test_workers_hold_few_rows_and_words(spark):
+    """Documents come in small batches, small tables start no Python worker, remembered words are bounded."""
+    corpus_pipeline.prepare(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    wide = spark.range(0, 4000, 1, 1).select(F.concat(F.lit("x" * 20_000), "id").alias("t"))
+    seen = wide.unionByName(spark.range(0, 4000, 1, 1).select(F.col("id").cast("string").alias("t"))).mapInArrow(sizes, "n long, bytes long")
+    rows, most = seen.agg(F.max("n"), F.max("bytes")).first()
+    assert rows == 1000 and most < 6 << 20
+
+    table = small_table(spark, [("a", 1), (None, 2)], pa.schema([("s", pa.string()), ("n", pa.int64())]))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+    assert [tuple(r) for r in table.collect()] == [("a", 1), (None, 2)] and small_table(spark, [], pa.schema([("n", pa.int64())])).count() == 0
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    few = packing.WordIds(tokenizer, words=100)
+    texts = [" ".join(f"{k}word{i}" for i in range(80)) for k in range(20)]
+    for t in texts:
+        assert few.ids(t) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(few) <= 180
+
+
 def test_pipeline_of_an_empty_table(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
