@@ -89,10 +89,24 @@ class LanguageModel:
         return self.langs[best], float(p[best]), bool(p[best] < self.threshold)
 
 
-def fit(x: np.ndarray, y: np.ndarray, n_langs: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def averages(at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An example's buckets and their shares of its counts ``n``."""
+    whole = np.zeros(BUCKETS, np.float32)
+    whole[at] = n
+    return at, n / whole.sum()
+
+
+def dense(examples: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    x = np.zeros((len(examples), BUCKETS), np.float32)
+    for r, (at, share) in enumerate(examples):
+        x[r, at] = share
+    return x
+
+
+def fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_langs: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Embeddings times output weights, and the bias, by stochastic gradient descent.
 
-    ``x`` holds averaged counts, a row per example.
+    ``x`` holds the buckets of each example and their shares; only a step's examples are spelled out.
     """
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
@@ -105,7 +119,7 @@ def fit(x: np.ndarray, y: np.ndarray, n_langs: int, seed: int = 0) -> tuple[np.n
             rows = order[at:at + size]
             rate = 1.0 * max(0.05, 1 - step / steps)
             step += 1
-            xb = x[rows]
+            xb = dense([x[r] for r in rows])
             hidden = xb @ e
             grad = softmax(hidden @ w + b)
             grad[np.arange(len(rows)), y[rows]] -= 1
@@ -170,21 +184,20 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                         rows.append((str(i), name, at.astype(np.int32), counts[at].astype(np.float32)))
             yield pd.DataFrame(rows, columns=["id", "lang", "at", "n"])
 
-    got = sample.mapInPandas(examples, "id string, lang string, at array<int>, n array<float>").toPandas()
-    if got.empty:
+    got = sample.mapInPandas(examples, "id string, lang string, at array<int>, n array<float>").toArrow()
+    if not got.num_rows:
         return LanguageModel((), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    got["key"] = [(str(i), str(lang_), len(a)) for i, lang_, a in zip(got["id"], got["lang"], got["at"])]
-    got = got.sort_values("key").reset_index(drop=True)
-    x = np.zeros((len(got), BUCKETS), np.float32)
-    for r, (at, n) in enumerate(zip(got["at"], got["n"])):
-        x[r, at] = n
-        x[r] /= x[r].sum()
-    y = np.array([langs.index(v) for v in got["lang"]])
+    # the numbers stay in Arrow's arrays: as Python objects they are some hundred MB
+    at, n = ([a.values.to_numpy() for a in got[c].combine_chunks()] for c in ("at", "n"))
+    ids, names = got["id"].to_pylist(), got["lang"].to_pylist()
+    order = pd.DataFrame({"key": [(i, name, len(a)) for i, name, a in zip(ids, names, at)]}).sort_values("key").index
+    x = [averages(at[r], n[r]) for r in order]
+    y = np.array([langs.index(names[r]) for r in order])
     # a document's snippets stay on its side
-    held = np.array([sum(map(ord, i)) % 4 == 0 for i in got["id"]])
+    held = np.array([sum(map(ord, ids[r])) % 4 == 0 for r in order])
     held &= len(y) >= 40
-    table, bias = fit(x[~held], y[~held], len(langs))
-    temperature, threshold = calibrate(x[held] @ table + bias, y[held])
+    table, bias = fit([e for e, h in zip(x, held) if not h], y[~held], len(langs))
+    temperature, threshold = calibrate(dense([e for e, h in zip(x, held) if h]) @ table + bias, y[held])
     return LanguageModel(langs, table.astype(float), bias.astype(float), temperature, threshold)
 
 

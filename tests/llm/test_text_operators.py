@@ -2,12 +2,14 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -68,6 +70,21 @@ def test_language_model_names_held_out_texts(spark, none):
     assert nothing.predict("text")[0] == "und"
 
 
+def test_learning_spells_out_a_step_at_a_time(spark):
+    """The driver holds buckets and shares of the examples, not a row of all buckets for each."""
+    docs = spark.createDataFrame([(i, words(i, 60) + (" der die das" if i % 2 else " the of and"), "de" if i % 2 else "en") for i in range(600)],
+                                 "doc_id long, text string, lang string")
+    tracemalloc.start()
+    model = language_id.learn(docs, per_lang=300)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.langs == ("de", "en") and model.table.any()
+    assert peak < 24 << 20  # all 1,800 examples as rows take 29 MB, and their copy for the fit 22
+    at, share = language_id.averages(np.array([3, 9]), np.array([1, 3], np.float32))
+    x = language_id.dense([(at, share), (at[:0], share[:0])])
+    assert x.shape == (2, language_id.BUCKETS) and x[0, 3] == 0.25 and x[0, 9] == 0.75 and x.sum() == 1
+
+
 def test_subword_counts_do_not_depend_on_the_pieces(monkeypatch):
     text = "Größe und Maß, été à l'île " * 50
     whole, _ = language_id.subword_counts(text)
