@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dualscript.functions import text as T
 from dualscript.operators.examples import NUM_TO_TEXT
-from dualscript.operators.lookup import balanced_lookup
+from dualscript.operators.lookup import balanced_lookup, fits_broadcast
 from dualscript.operators.pairs import sentences
 from dualscript.operators.staging import compute_once
 from dualscript.sources.storage import materialise
@@ -108,10 +108,12 @@ def _candidates(texts: DataFrame, key: str, starts: DataFrame) -> DataFrame:
 
     Each token is probed once.  A text comes back as a row, in which the places
     that may begin a phrase, and only these, spell out as many tokens as a
-    phrase that begins so has; a wide entry costs nothing elsewhere.
+    phrase that begins so has; a wide entry costs nothing elsewhere.  Texts move
+    to their key first only if the tokens then stay there.
     """
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = texts.repartition(parts, key).select(key, F.posexplode("words").alias("place", "token"))
+    if fits_broadcast(starts):
+        texts = texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    placed = texts.select(key, F.posexplode("words").alias("place", "token"))
     probed = balanced_lookup(placed, starts, ["token"], "n", [key, "place"], may_miss=True)
     item = F.struct("place", "token", "widths")
     rows = probed.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"), F.count("widths").alias("starts"))
@@ -130,7 +132,8 @@ def convert(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame
 
     The entry for the following token wins over the back-off.  ``key`` must be
     unique.  Phrases are found by their first token and checked by join.  The
-    lexicon, read several times, is stored first.
+    lexicon, read several times, is stored first, and so are the places to
+    look up where the lookup reads them twice.
     """
     lexicon = materialise(lexicon, "lexicon")
     back_off = lexicon.where("next_token IS NULL").select(
@@ -143,6 +146,8 @@ def convert(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame
     words = T.tokens(F.col(text))
     starts = materialise(_starts(back_off), "phrase-starts")
     candidates = _candidates(df.select(key, words.alias("words")), key, starts)
+    if not fits_broadcast(back_off):
+        candidates = materialise(candidates, "phrase-candidates")
     hits = balanced_lookup(candidates, back_off, ["phrase"], "n", [key, "place"], may_miss=True).where(
         "any_dst IS NOT NULL"
     )

@@ -1,6 +1,7 @@
 import pytest
 
 from dualscript.operators import lexicon as L
+from dualscript.operators import lookup
 
 LINES = [
     "p :: (1번지)/(일번지)가 좋다", "p :: 오늘 (1시)/(한 시)에 보자", "p :: 오늘 (1시)/(한 시)에 가자",
@@ -47,6 +48,30 @@ def test_leftmost_longest(frame):
     assert got == {0: "AB c DE e", 1: "x BCD", 2: "AB AB D"}
 
 
+def test_texts_are_probed_once_above_the_broadcast_threshold(frame, spark, lines, monkeypatch):
+    """The sketch of the phrases reads stored places, not the texts and the first lookup again."""
+    df = frame([(0, "오늘 1시에 가자"), (1, "1시에 보자 12"), (2, "없음"), (3, ""), (4, "1시에 와"), (5, "3 12 3")], "id int, t string")
+    lex = L.reading_lexicon(lines)
+    small = {r.id: r.converted for r in L.convert(df, "id", "t", lex).collect()}
+    plans, sketch = [], lookup.frequent_keys
+
+    def planned(left, on):
+        plans.append(left._jdf.queryExecution().optimizedPlan().toString())
+        return sketch(left, on)
+
+    monkeypatch.setattr(lookup, "frequent_keys", planned)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        large = {r.id: r.converted for r in L.convert(df, "id", "t", lex).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert large == small and small[5] == "삼 십이 삼"
+    tokens, phrases = plans
+    assert "Generate" in tokens and "Repartition" not in tokens
+    assert all(x not in phrases for x in ("Join", "Aggregate", "Generate", "Repartition"))
+
+
 def test_a_very_wide_phrase(frame, spark):
     """Only places where it may begin look further than one token."""
     wide = " ".join(f"w{k}" for k in range(300))
