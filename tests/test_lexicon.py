@@ -2,6 +2,7 @@ import pytest
 
 from dualscript.operators import lexicon as L
 from dualscript.operators import lookup
+from dualscript.plans import queries
 
 LINES = [
     "p :: (1번지)/(일번지)가 좋다", "p :: 오늘 (1시)/(한 시)에 보자", "p :: 오늘 (1시)/(한 시)에 가자",
@@ -72,6 +73,13 @@ def test_texts_are_probed_once_above_the_broadcast_threshold(frame, spark, lines
     assert all(x not in phrases for x in ("Join", "Aggregate", "Generate", "Repartition"))
 
 
+def test_scoring_judges_each_line_once(spark, monkeypatch):
+    calls, judge = [], queries.pairs.valid_pairs
+    monkeypatch.setattr(queries.pairs, "valid_pairs", lambda *a: calls.append(a) or judge(*a))
+    out = queries.QUERIES["lexicon_eval"](spark, "/root/testdata/sf0.001").collect()
+    assert len(calls) == 1 and len(out) == 1 and 0 < out[0]["rouge1"] < 1
+
+
 def test_a_very_wide_phrase(frame, spark):
     """Only places where it may begin look further than one token."""
     wide = " ".join(f"w{k}" for k in range(300))
