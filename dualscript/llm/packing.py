@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from dualscript.sources.storage import materialise
 CAPACITY = 1024
 END = 2
 CACHE_WORDS = 1_200_000  # words whose ids a worker remembers unless told otherwise; the memory bound
-SLICE, JOINED = 1 << 21, 2_000  # characters whose new words are learned together; words encoded in one call
+SLICE, JOINED = 1 << 23, 100  # characters whose new words are learned together; words encoded in one call
 ROUNDS, SWEEPS = 6, 30  # of pattern enumeration, and of the least squares after each
 
 
@@ -49,7 +50,9 @@ class WordIds(dict):
 
     def __init__(self, tokenizer: Tokenizer, words: int = CACHE_WORDS):
         self.tokenizer, self.words = tokenizer, words
-        self.feed = self._encode("\n")
+        vocabulary = tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token, one per character of its name
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         added = sorted(tokenizer.get_added_tokens_decoder().values(), key=lambda t: -len(t.content))
         self.added = re.compile(f"({'|'.join(re.escape(t.content) for t in added)})") if added else None
         # else the string alone does not say what the token takes
@@ -76,22 +79,33 @@ class WordIds(dict):
         yield from self._slice(held)
 
     def _slice(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self) > self.words:
-            self.clear()
+        """Each distinct word is looked up once; Arrow puts its ids at all of its places."""
+        whole = [self.added is None or not self.added.search(t) for t in texts]
         # A line feed before a text makes its first word a line start like all others.
-        split = [None if self.added is not None and self.added.search(t) else f"\n{t}".replace("\n", " \n").split(" ")[1:]
-                 for t in texts]
-        new = set().union(*[parts for parts in split if parts is not None]).difference(self)
+        lines = [f"\n{t}".replace("\n", " \n")[1:] for t, w in zip(texts, whole) if w]
+        split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words, index = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        new = set(words).difference(self)
+        if len(self) + len(new) > self.words:  # forget the words that these texts lack
+            kept = {w: self[w] for w in words if w not in new}
+            self.clear()
+            self.update(kept)
         # somewhere white space is not one space or line feed between words
         odd = {p for p in new if p.split() != [p.removeprefix("\n")]}
         self._learn(new - odd)
-        for t, parts in zip(texts, split):
-            if parts is None:
+        found = [b"" if w in odd else self[w] for w in words]
+        data = pa.array(found, pa.large_binary()).take(coded.indices).buffers()[2] or pa.py_buffer(b"")
+        place = split.offsets.to_numpy()
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found))[index]))[place].tolist()
+        odds = np.append(0, np.cumsum(np.asarray([w in odd for w in words], bool)[index]))[place].tolist()
+        k = 0
+        for t, w in zip(texts, whole):
+            if not w:
                 yield self._with_added(t)
-            elif odd and not odd.isdisjoint(parts):
-                yield self._cut(t)
-            else:
-                yield b"".join(map(self.__getitem__, parts))[4:]
+                continue
+            yield self._cut(t) if odds[k] < odds[k + 1] else data[ends[k] + 4:ends[k + 1]].to_pybytes()
+            k += 1
 
     def _with_added(self, text: str) -> bytes:
         if not self.plain:
@@ -106,16 +120,20 @@ class WordIds(dict):
         return b"".join([self[p[1:]] if is_word(p) else self._encode(p).tobytes() for p in cut])
 
     def _learn(self, new: set[str]) -> None:
-        """Encode words joined by line feeds, which have an id of their own."""
-        words, feed = list(new), self.feed.tobytes()
+        """Encode words in a row; the bytes that their tokens stand for say where each word ends."""
+        words = list(new)
         for at in range(0, len(words), JOINED):
             part = words[at:at + JOINED]
-            ids = self._encode("\n".join([w[1:] if w[0] == "\n" else " " + w for w in part]))
-            ends = np.append(np.flatnonzero(ids == self.feed[0]), len(ids)) * 4
+            spelled = [w if w[0] == "\n" else " " + w for w in part]
+            ids = self._encode("".join(spelled))
+            ends, upto = np.cumsum([len(w.encode()) for w in spelled]), np.cumsum(self.sizes[ids])
+            if not np.isin(ends, upto).all() or upto[-1] != ends[-1]:  # a token reaches over two words
+                self.update((word, self._encode(w).tobytes()) for word, w in zip(part, spelled))
+                continue
             raw, start = ids.tobytes(), 0
-            for word, end in zip(part, ends.tolist(), strict=True):
-                self[word] = feed + raw[start:end] if word[0] == "\n" else raw[start:end]
-                start = end + 4
+            for word, end in zip(part, ((np.searchsorted(upto, ends) + 1) * 4).tolist()):
+                self[word] = raw[start:end]
+                start = end
 
 
 @functools.lru_cache(maxsize=1)

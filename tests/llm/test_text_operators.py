@@ -13,7 +13,7 @@ from conftest import words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from dualscript.llm import byte_bpe, language_id, line_dedup, packing, quality_rules, token_counts
 
@@ -159,6 +159,55 @@ def test_added_tokens_keep_their_id(parts):
     assert got.count(50256) == text.count("<|endoftext|>")
 
 
+class Watched(packing.WordIds):
+    """Counts lookups and notes what goes through the tokenizer."""
+
+    def __init__(self, *args, **named):
+        self.looked, self.sent = 0, []
+        super().__init__(*args, **named)
+
+    def __getitem__(self, word):
+        self.looked += 1
+        return super().__getitem__(word)
+
+    def _encode(self, text):
+        self.sent.append(text)
+        return super()._encode(text)
+
+
+def test_a_word_is_looked_up_and_encoded_once_for_many_texts():
+    t = Tokenizer.from_file(PACKER)
+    texts = ["the cat, the dog\nthe cat", None, "", "a  b", "<|endoftext|>the cat"] + ["dog the\ncat"] * 500
+    ids = Watched(t)
+    ids.sent.clear()
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in ids.batch(texts)]
+    assert got == [t.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert ids.looked < 30
+    words = {" cat,", " the", " dog", "\nthe", " cat", "\ndog", "\ncat"}
+    sent = [w for w in words if any(w in s for s in ids.sent)]
+    assert set(sent) == words and sum(map(len, ids.sent)) <= sum(map(len, words)) + 40
+
+
+def test_tokens_over_two_words_do_not_shift_remembered_ids():
+    t = Tokenizer.from_file(PACKER)
+    t.add_tokens([AddedToken("o w", normalized=False)])
+    ids = packing.WordIds(t)
+    words = {f"hello{k}o" for k in range(50)} | {f"w{k}orld" for k in range(50)}
+    ids._learn(words)
+    for w in words:
+        assert ids[w] == np.array(t.encode(" " + w, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_frequent_words_outlive_the_bound_of_the_memory():
+    t = Tokenizer.from_file(PACKER)
+    ids = Watched(t, words=40)
+    for k in range(20):
+        text = " ".join(["frequent"] + [f"{k}rare{i}" for i in range(15)] + ["frequent"])
+        assert ids.ids(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(ids) <= 40
+    assert sum(" frequent" in s for s in ids.sent) == 1
+
+
 @settings(max_examples=200, deadline=None)
 @given(ODD, st.integers(1, 9))
 def test_safe_pieces_change_no_id(text, size):
