@@ -2,13 +2,17 @@
 
 import hashlib
 import random
+import time
 import tracemalloc
 from collections import Counter
+from pathlib import Path
+from urllib.parse import unquote
 
 import numpy as np
 import pytest
 import zstandard
 from conftest import edited, words
+from pyspark.sql import functions as F
 
 from dualscript.llm import common, embedding_dedup, html_crf, ngram_join, warc
 
@@ -89,6 +93,49 @@ def test_a_common_line_one_large_group_and_one_chain(spark, monkeypatch):
     check_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
 
+def test_sets_that_move_in_turns_lose_no_link(spark, monkeypatch):
+    """Texts and sets move to their pairs a part at a time; each part's table is gone when its links are stored."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "FEW", 4)
+    monkeypatch.setattr(ngram_join, "MOVED", 1)
+    monkeypatch.setattr(ngram_join, "LEAST", 8)
+    monkeypatch.setattr(ngram_join, "PORTIONS", 2)
+    line, base = words(53, 30), words(54, 60)
+    texts = [line + " " + words(4000 + k, 4 + k % 12) for k in range(20)] + [edited(base, 5000 + k, 2 + k % 5) for k in range(20)]
+    made, stored = [], ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, label, *spent: made.append((label, stored(df, label, *spent))) or made[-1][1])
+    check_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    at = lambda df: df.inputFiles()[:1]
+    labels = [label for label, _ in made]
+    assert labels.count("shingle-prefixes") == 2 and "block-bytes" in labels
+    there = [label for label, df in made if at(df) and Path(unquote(at(df)[0].removeprefix("file:"))).exists()]
+    assert not {"shingle-sets", "shingle-prefixes", "block-members", "block-documents", "rare-tokens"} & set(there)
+
+
+def test_only_wanted_texts_move(spark):
+    rows = [(None if k % 50 == 0 else k, k * 7, f"text {k}") for k in range(4000)]
+    texts = spark.createDataFrame(rows, "_id long, _th long, _text string")
+    needed = texts.where("_th % 280 = 0").select(F.col("_id").alias("_rid"), F.col("_th").alias("_rth"))
+    got = {tuple(r) for r in ngram_join._marked(texts, needed).collect()}
+    want = {r for r in rows if r[1] % 280 == 0}
+    assert want <= got and len(got) < len(rows) / 4
+    assert ngram_join._marked(texts, needed.where("false")).count() == 0
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """At once, not after the next one: the disk held the shuffles of two jobs."""
+    dirs = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f: f.stat().st_size for d in dirs for f in d.rglob("shuffle_*.data")}
+    before = files()
+    common.stored(spark.range(200_000).groupBy(F.xxhash64("id").alias("k")).count(), "released")
+    for _ in range(40):
+        left = {f: n for f, n in files().items() if f not in before and n > 1000}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 130)] + [(None, 3)]
