@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dualscript.functions import text as T
-from dualscript.sources.storage import fresh_name
+from dualscript.sources.storage import fresh_name, materialise
 
 # --- fixed values: file extensions, split names and split folders ---
 TXT, WAV, TRN, PCM = ".txt", ".wav", ".trn", ".pcm"
@@ -18,6 +19,8 @@ SPLIT_FOLDERS = {True: "1.Training", False: "2.Validation"}
 # --- end of fixed values ---
 
 SCANS_A_TASK = 32  # a task reads so many of Spark's file partitions, about 32 small files each
+FILES_A_TASK, BYTES_A_TASK, FOLDERS_A_TASK = 1_024, 128 << 20, 1_024  # of the files and folders that tasks open themselves
+COMPRESSED = r"(?i)\.(deflate|gz|gzip|bz2|lz4|lzo|snappy|zst|br|passthrough)\z"  # names that Spark's reader may unpack
 
 
 def _segment_regex(glob: str) -> str:
@@ -125,17 +128,101 @@ def write_files(files: DataFrame, root: str) -> None:
     rows.mapInArrow(write, "n bigint").agg(F.sum("n")).first()
 
 
+def _folder(spark: SparkSession, root: str) -> tuple[str, str] | None:
+    """URI and plain path of a folder that Arrow's file systems open by its path (local, HDFS); else Spark's scans do the work."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toASCIIString()
+    uri = re.sub("^file:/+", "file:///", uri)
+    try:
+        store, at = fs.FileSystem.from_uri(uri)
+        found = at.startswith("/") and store.get_file_info(at).type == fs.FileType.Directory
+    except (pa.ArrowException, OSError):
+        return None
+    return (uri, at.rstrip("/")) if found else None
+
+
+def _files(spark: SparkSession, uri: str, base: str) -> DataFrame:
+    """``path, n_bytes`` of the files below a folder, stored: those that Spark's scans read, not hidden and not empty.
+
+    Tasks list the folders, one level after the other, so the driver holds no
+    entry of a file or folder.  Spark's own listing ends in the driver.
+    """
+    def children(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, _ = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = []
+                for x in store.get_file_info(fs.FileSelector(folder)):
+                    name, is_dir = x.base_name, x.type == fs.FileType.Directory
+                    hidden = name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+                    if is_dir and (not hidden or name.startswith(("_metadata", "_common_metadata"))):
+                        found.append((x.path, True, 0))
+                    elif x.type == fs.FileType.File and not hidden and x.size:
+                        found.append((x.path, False, x.size))
+                for i in range(0, len(found), 10_000):
+                    columns = zip(*found[i:i + 10_000])
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.bool_(), pa.int64()))], ["path", "is_dir", "n_bytes"])
+
+    enough = 4 * spark.sparkContext.defaultParallelism
+    folders, levels = spark.range(1, numPartitions=1).select(F.lit(base).alias("path")), []
+    while True:
+        level = materialise(folders.mapInArrow(children, "path string, is_dir boolean, n_bytes bigint"), "tree-level")
+        levels.append(level.where("not is_dir").select("path", "n_bytes"))
+        folders = level.where("is_dir").select("path")
+        n = folders.count()
+        if not n:
+            return materialise(reduce(DataFrame.unionByName, levels), "tree-listing")
+        folders = folders.repartition(min(n, max(enough, n // FOLDERS_A_TASK)))
+
+
+def _contents(files: DataFrame, uri: str) -> DataFrame:
+    """``path, value``: the bytes of the files ``path, n_bytes``, read by tasks of about the same number of files or bytes."""
+    def opened(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, _ = fs.FileSystem.from_uri(uri)
+        paths, values, size = [], [], 0
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with store.open_input_stream(path, compression=None) as file:
+                    value = file.read()
+                paths.append(path)
+                values.append(value)
+                size += len(value)
+                if size > 4 << 20 or len(paths) == 1_000:
+                    yield pa.record_batch([pa.array(paths, pa.string()), pa.array(values, pa.binary())], ["path", "value"])
+                    paths, values, size = [], [], 0
+        if paths:
+            yield pa.record_batch([pa.array(paths, pa.string()), pa.array(values, pa.binary())], ["path", "value"])
+
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    enough = 4 * files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n, max(enough, n // FILES_A_TASK, size // BYTES_A_TASK)))
+    return files.select("path").repartition(tasks, "path").mapInArrow(opened, "path string, value binary")
+
+
 def list_tree(
     spark: SparkSession, root: str, folder: str | None = None, parent_glob: str = "*", child_glob: str = "**/*",
 ) -> DataFrame:
     """``path, dir, rel, file_name, n_bytes`` of the files below ``root/folder``; no file is opened.
 
-    Spark lists the folders in parallel.  Globs start at ``root/folder``, and
+    Tasks list the folders.  Globs start at ``root/folder``, and
     ``rel`` is the folder relative to it.  Files of any name are listed, so a
     folder without a label is a folder too; each path appears once however many
     globs reach it, and files are never mistaken for folders.
     """
     top = _split_root(root, folder)
+    at = _folder(spark, top)
+    if at:
+        found = _files(spark, *at).select(*[c.alias(n) for n, c in _located(F.col("path"), at[1]).items()], "n_bytes")
+        return found.where(F.col("rel").rlike(data_dir_regex(parent_glob, child_glob)))
     base = _base(spark, top)
     # without the column of contents this source only asks the file system
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(top)
@@ -149,7 +236,7 @@ def read_tree(
 ) -> DataFrame:
     """Whole text files of a tree: ``path, dir, rel, file_name, text, valid``.
 
-    Only what lies below ``root/folder`` is listed, and globs start there.
+    Only what lies below ``root/folder`` is listed, by tasks, and globs start there.
     ``name_contains`` is a substring test on the file name.  Each path appears
     once however many globs reach its folder.  ``valid`` is false for files
     that are not UTF-8; ``quarantine`` separates them.  Of ``only_dirs`` or all
@@ -157,20 +244,31 @@ def read_tree(
     any is opened.
     """
     top = _split_root(root, folder)
-    base = _base(spark, top)
-    raw = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{name_contains}*")
-        .text(top, wholetext=True)
-    )
-    at = _located(_plain_path(F.col("_metadata.file_path")), base)
-    # tests on the file's own path alone choose files, not rows
-    wanted = raw.where(at["rel"].rlike(data_dir_regex(parent_glob, child_glob)))
-    if only_dirs is not None:
-        wanted = wanted.where(at["rel"].isin(list(only_dirs)) if only_dirs else F.lit(False))
-    if but_dirs:
-        wanted = wanted.where(~at["rel"].isin(list(but_dirs)))
-    return _in_fewer_tasks(wanted).select(
+
+    def chosen(files: DataFrame, at: dict[str, Column]) -> DataFrame:
+        # tests on the file's own path alone choose files, not rows
+        wanted = files.where(at["rel"].rlike(data_dir_regex(parent_glob, child_glob)))
+        if only_dirs is not None:
+            wanted = wanted.where(at["rel"].isin(list(only_dirs)) if only_dirs else F.lit(False))
+        if but_dirs:
+            wanted = wanted.where(~at["rel"].isin(list(but_dirs)))
+        return wanted
+
+    folder_at, texts = _folder(spark, top), None
+    if folder_at:
+        at = _located(F.col("path"), folder_at[1])
+        files = chosen(_files(spark, *folder_at).where(F.contains(at["file_name"], F.lit(name_contains))), at)
+        if files.where(F.col("path").rlike(COMPRESSED)).isEmpty():
+            texts = _contents(files, folder_at[0]).withColumn("value", F.col("value").cast("string"))
+    if texts is None:
+        raw = (
+            spark.read.option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", f"*{name_contains}*")
+            .text(top, wholetext=True)
+        )
+        at = _located(_plain_path(F.col("_metadata.file_path")), _base(spark, top))
+        texts = _in_fewer_tasks(chosen(raw, at))
+    return texts.select(
         *[c.alias(n) for n, c in at.items()],
         # Text mode reading turns every line ending into a newline.
         F.regexp_replace("value", "\r\n?", "\n").alias("text"),

@@ -1,5 +1,6 @@
 """Stage 1 from files: listing, hold-out, scripts in one file, many domains."""
 
+import gzip
 import random
 import shutil
 
@@ -145,3 +146,42 @@ def test_files_are_read_once(spark, root, tmp_path):
     before = report["train"].first()
     copy.rename(tmp_path / "gone")  # the report needs no file any more
     assert before["n_total"] and report["train"].first() == before and report["rejected"].count() >= 0
+
+
+def spark_scan(monkeypatch, read):
+    """What Spark's own scans find, whose listing ends in the driver."""
+    with monkeypatch.context() as m:
+        m.setattr(tree, "_folder", lambda *_: None)
+        return sorted(map(tuple, read().collect()))
+
+
+def test_the_driver_lists_no_files(spark, tmp_path, monkeypatch):
+    """Folders are listed and files opened in tasks, with the rows of Spark's own scans."""
+    top = tmp_path / "raw + \u1112"
+    for k in range(60):
+        at = top / f"d{k % 5}" / "_x=1" / f"s {k % 7}"
+        at.mkdir(parents=True, exist_ok=True)
+        (at / f"{k}+ .txt").write_bytes(f"{k}\r\n\rx".encode())
+    for name in ("d0/_hidden/a.txt", "d0/.dot/a.txt", "d0/_a.txt", "d0/.a.txt", "d0/b._COPYING_", "d0/_b=.txt", "d0/_metadata/m.txt", "d0/_metadata.txt",
+                 "d1/empty.txt", "d1/bad.txt", "d1/bom.txt", "top.txt"):
+        (top / name).parent.mkdir(parents=True, exist_ok=True)
+        (top / name).write_bytes({"empty": b"", "bad": b"\xff\xfe\r", "bom": "\ufeffx".encode()}.get((top / name).stem, b"y"))
+    (top / "nothing").mkdir()
+    reads = [lambda: tree.list_tree(spark, str(top)), lambda: tree.list_tree(spark, str(top), None, "d[0-2]", "**"), lambda: tree.read_tree(spark, str(top)),
+             lambda: tree.read_tree(spark, str(tmp_path), folder=top.name, child_glob="**", but_dirs=["d1"], name_contains=""),
+             lambda: tree.read_tree(spark, str(top), parent_glob="_x=1", child_glob="s*", only_dirs=["d1/_x=1/s 1", "d2/_x=1/s 2"])]
+    for read in reads:
+        rows = sorted(map(tuple, read().collect()))
+        assert rows == spark_scan(monkeypatch, read) and rows
+        plan = read()._jdf.queryExecution().optimizedPlan().toString()
+        assert "binaryFile" not in plan and "_metadata" not in plan
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tree.read_tree(spark, str(top / "missing"))
+
+
+def test_packed_files_are_unpacked(spark, tmp_path):
+    at = tmp_path / "a" / "b"
+    at.mkdir(parents=True)
+    (at / "1.txt.gz").write_bytes(gzip.compress(b"one"))
+    (at / "2.txt").write_bytes(b"two")
+    assert {r.text for r in tree.read_tree(spark, str(tmp_path)).collect()} == {"one", "two"}
